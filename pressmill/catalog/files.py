@@ -171,16 +171,16 @@ def mixed_corpus_scan(spark, sf_dir):
     ):
         articles.where(chosen).select("article").write.option(
             "mapreduce.output.basename", name
-        ).text(f"{path}/{name.replace('_', '/')}")
+        ).text(f"{path}/dumps/{name.replace('_', '-')}")
     return tables.read_mixed(spark, path).drop("kind", "path", "pos")
 
 
 def _yearly_csv(spark, sf_dir) -> str:
-    """One file set per year from 2015 on; odd years have no year column."""
+    """One set of files per year, 2015 to 2018; every second one has no year column."""
     path = scratch_path(spark, "years")
     docs = v.documents(spark, sf_dir).withColumnRenamed("article_id", "doc")
-    for i in range(10):
-        rows = docs.where(F.col("doc") % 10 == i)
+    for i in range(4):
+        rows = docs.where(F.col("doc") % 4 == i)
         columns = ("doc", "text", "source", "year") if i % 2 else ("text", "doc", "source")
         _write_csv(rows.select(*columns), path, f"{2015 + i}_articles")
     return path
@@ -188,7 +188,7 @@ def _yearly_csv(spark, sf_dir) -> str:
 
 _YEARLY = """yearly AS (
   SELECT article_id, text, source,
-    CASE WHEN article_id % 2 = 1 THEN year ELSE CAST(2015 + article_id % 10 AS INTEGER) END AS year
+    CASE WHEN article_id % 2 = 1 THEN year ELSE CAST(2015 + article_id % 4 AS INTEGER) END AS year
   FROM docs)"""
 
 

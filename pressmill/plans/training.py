@@ -20,7 +20,7 @@ from ..operators.sampling import balance, stratified_split
 
 RUNS = 5
 REGULARIZATION = (0.01, 0.1)
-FEATURES = 1 << 18
+FEATURES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -33,11 +33,11 @@ class Run:
     metrics: dict[str, float]
 
 
-def _words() -> list:
+def _words(features: int = FEATURES) -> list:
     """Stages without a state: cased words and their hashed counts."""
     return [
         RegexTokenizer(inputCol="text", outputCol="words", toLowercase=False),
-        HashingTF(inputCol="words", outputCol="counts", numFeatures=FEATURES),
+        HashingTF(inputCol="words", outputCol="counts", numFeatures=features),
     ]
 
 
@@ -79,7 +79,7 @@ def train_run(
     tested = _predicted(fitted.transform(weighted.where("split = 'test'")))
     metrics = classification_metrics(tested).first().asDict()
     weighted.unpersist()
-    model = PipelineModel([*_words(), idf, fitted])
+    model = PipelineModel([*_words(fitted.numFeatures), idf, fitted])
     return Run(run_id, seed, model, reg_param, val_loss, metrics)
 
 
@@ -90,13 +90,15 @@ def train_runs(
     key: str = "article_id",
     reg_params: Sequence[float] = REGULARIZATION,
     max_iter: int = 20,
+    features: int = FEATURES,
 ) -> list[Run]:
     """Runs with seeds ``seed, seed + 1, …`` on a corpus of cleaned, unique texts.
 
     The fit has no random start, so the seed draws the sample and the split. Words
-    are counted once for all runs.
+    are counted once for all runs. ``features`` is the width of the hashed word space,
+    which bounds the model and what a fit sends around, whatever the corpus.
     """
-    counts = PipelineModel(_words()).transform(unique.select(key, "label", "text"))
+    counts = PipelineModel(_words(features)).transform(unique.select(key, "label", "text"))
     counts = counts.select(key, "label", "counts").persist(StorageLevel.MEMORY_AND_DISK)
     runs = []
     for i in range(n_runs):
