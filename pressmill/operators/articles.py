@@ -9,12 +9,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import metadata as meta
 from ..functions.blanks import BLANK, lines, strip
 from ..functions.fixed import HEADER_KEYS
+from ..session import computed_once
 
 # A line that holds only the delimiter and blanks.
 DELIMITER_LINE = rf"(?md)^{BLANK}*<\*{{3}}>{BLANK}*$"
 
-# A stripped header line: key, spaces, colon. Only plain spaces may precede the colon.
-_KEY_LINE = rf"(?s)^({'|'.join(re.escape(key) for key in HEADER_KEYS)}) *:(.*)$"
+_KEYS = "|".join(re.escape(key) for key in HEADER_KEYS)
+
+# A header line: key, spaces, colon, value. Only plain spaces may precede the colon.
+_ENTRY = rf"(?s)\A{BLANK}*({_KEYS}) *:(.*)\z"
+
+# A line that may stand in a header. Body lines fail at their first letters.
+_HEADER_OR_BLANK = rf"\A{BLANK}*(?:\z|(?:{_KEYS}) *:)"
 
 
 def split_blocks(dumps: DataFrame) -> DataFrame:
@@ -28,16 +34,10 @@ def split_blocks(dumps: DataFrame) -> DataFrame:
     )
 
 
-def _is_header_or_blank(line: Column) -> Column:
-    text = strip(line)
-    return (text == "") | text.rlike(_KEY_LINE)
-
-
 def _entry(line: Column) -> Column:
-    text = strip(line)
     return F.struct(
-        F.regexp_extract(text, _KEY_LINE, 1).alias("key"),
-        meta.blank_if_unavailable(strip(F.regexp_extract(text, _KEY_LINE, 2))).alias("value"),
+        F.regexp_extract(line, _ENTRY, 1).alias("key"),
+        strip(F.regexp_extract(line, _ENTRY, 2)).alias("value"),
     )
 
 
@@ -54,38 +54,38 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     other line starts the body, which keeps its own blank lines.
     """
     keep = [c for c in blocks.columns if c != "block"]
-    split = blocks.withColumn("_lines", lines(strip(F.col("block"))))
-    marked = split.withColumn(
-        "_start", F.array_position(F.transform("_lines", _is_header_or_blank), False)
-    ).where(F.col("_start") > 0)
+    split = blocks.select(*keep, lines(strip(F.col("block"))).alias("_lines"))
+    in_header = F.transform("_lines", lambda line: line.rlike(_HEADER_OR_BLANK))
+    # A block without a body has no such line and is dropped.
+    marked = computed_once(split, "_start", F.array_position(in_header, False))
+    marked = marked.where(F.col("_start") > 0)
     start = F.col("_start").cast("int")
     cut = marked.select(
         *keep,
-        F.transform(
-            F.filter(F.slice("_lines", F.lit(1), start - 1), lambda line: strip(line) != ""),
-            _entry,
-        ).alias("_head"),
+        # Blank lines have no key and are never asked for.
+        F.transform(F.slice("_lines", F.lit(1), start - 1), _entry).alias("_head"),
         strip(F.array_join(F.slice("_lines", start, F.size("_lines")), "\n")).alias("text"),
     )
-    head = F.col("_head")
+    raw = cut.select(
+        *keep, "text", *(_last_value(F.col("_head"), key).alias(f"_{key}") for key in HEADER_KEYS)
+    )
+
+    def value(key: str) -> Column:
+        return meta.blank_if_unavailable(F.col(f"_{key}"))
 
     def optional(key: str) -> Column:
-        return meta.first_present(_last_value(head, key))
+        return meta.first_present(value(key))
 
-    return cut.select(
+    return raw.select(
         *keep,
-        meta.source_name(_last_value(head, "NOVINA"), _last_value(head, "PORTAL")).alias(
-            "source_name"
-        ),
+        meta.source_name(value("NOVINA"), value("PORTAL")).alias("source_name"),
         optional("DATUM").alias("date"),
         optional("LINK").alias("link"),
         optional("RUBRIKA").alias("section"),
         optional("NADNASLOV").alias("supertitle"),
         optional("NASLOV").alias("title"),
         optional("PODNASLOV").alias("subtitle"),
-        meta.first_present(
-            *(_last_value(head, key) for key in ("AUTOR(I)", "AUTORI", "AUTOR"))
-        ).alias("author"),
+        meta.first_present(value("AUTOR(I)"), value("AUTORI"), value("AUTOR")).alias("author"),
         "text",
     )
 

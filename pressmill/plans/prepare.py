@@ -10,7 +10,7 @@ from ..operators.counters import split_statistics
 from ..operators.dedup import first_copies, text_key
 from ..operators.filters import require_columns, with_length, within_length
 from ..operators.sampling import balance, stratified_split
-from ..session import written
+from ..session import computed_once, written
 from ..sources.dumps import SPLIT_ABOVE
 from ..sources.sinks import write_small, write_splits
 from ..sources.tables import read_mixed
@@ -18,7 +18,7 @@ from ..sources.tables import read_mixed
 
 def cleaned(corpus: DataFrame) -> DataFrame:
     """Cleaned text and its length in characters."""
-    return with_length(corpus.withColumn("text", clean_text(F.col("text"))))
+    return with_length(computed_once(corpus, "text", clean_text(F.col("text"))))
 
 
 def unique_rows(measured: DataFrame, key: str = "article_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "pressmill", **conf: str) -> SparkSession:
@@ -66,3 +66,14 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     if scan.rdd.getNumPartitions() >= width:
         return scan
     return scan.repartition(width, *keys)
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a costly column that later filters cannot recompute.
+
+    A filter on a plain column is pushed below the projection that computes it, below
+    joins and repartitioning too, and the expression is then evaluated there and again
+    above. Filters do not pass a generator, and a one-element array makes one row.
+    """
+    others = [F.col(c) for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name))
