@@ -47,20 +47,25 @@ def summarize(scored: DataFrame, group: Sequence[str], ordered: bool = False) ->
     return table.orderBy(*(F.asc_nulls_last(key) for key in keys)) if ordered else table
 
 
+def available_reports(
+    columns: Sequence[str], family: dict[str, Sequence[str]] | None = None
+) -> dict[str, tuple[str, ...]]:
+    """The reports a table allows: each with its group columns that the table has."""
+    family = FAMILY if family is None else family
+    kept = {name: tuple(c for c in keys if c in columns) for name, keys in family.items()}
+    return {name: keys for name, keys in kept.items() if keys}
+
+
 def summarize_family(
     scored: DataFrame, family: dict[str, Sequence[str]] | None = None
 ) -> DataFrame:
     """All reports of the family from one pass over the predictions.
 
     ``report`` names the table a line belongs to, which also tells a null key from
-    a key that the report does not have.
+    a key that the report does not have. Reports that lack of columns makes equal
+    are there once, under the last of their names.
     """
-    family = FAMILY if family is None else family
-    reports: dict[tuple[str, ...], str] = {}
-    for name, columns in family.items():
-        available = tuple(c for c in columns if c in scored.columns)
-        if available:
-            reports[available] = name
+    reports = {keys: name for name, keys in available_reports(scored.columns, family).items()}
     keys = list(dict.fromkeys(c for columns in reports for c in columns))
     grouped = scored.groupingSets([list(columns) for columns in reports], *keys).agg(
         F.grouping_id().alias("_set"), *_totals()
@@ -73,11 +78,15 @@ def summarize_family(
     return grouped.select(report.alias("report"), *keys, *_percentages())
 
 
-def one_report(family_table: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+def one_report(
+    family_table: DataFrame, name: str, family: dict[str, Sequence[str]] | None = None
+) -> DataFrame:
     """One report of ``summarize_family`` with its own columns, in order."""
-    keys = [c for c in columns if c in family_table.columns]
+    reports = available_reports(family_table.columns, family)
+    keys = reports[name]
+    stored_as = [other for other, columns in reports.items() if columns == keys][-1]
     measures = ["n_articles", "human_pct", "ai_pct", "mean_conf_pct"]
-    table = family_table.where(F.col("report") == name).select(*keys, *measures)
+    table = family_table.where(F.col("report") == stored_as).select(*keys, *measures)
     return table.orderBy(*(F.asc_nulls_last(key) for key in keys))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.cleaning import clean_text
 from ..functions.fixed import MAX_LENGTH, MIN_LENGTH, SEED, TRAIN_SHARE, VAL_SHARE
-from ..operators.counters import split_statistics
+from ..operators.counters import split_statistics, stage_counts
 from ..operators.dedup import first_copies, text_key
 from ..operators.filters import require_columns, with_length, within_length
 from ..operators.sampling import balance, stratified_split
@@ -84,11 +84,10 @@ def prepare_dataset(
     the hash of their text, which is unique by then and does not depend on how the
     files were read. Returns the statistics with the rows left after every stage.
     """
-    seen = Observation("prepare")
-    measured = cleaned(load_order(read_mixed(spark, input_dir, txt_label, split_above)))
-    measured = measured.observe(seen, F.count("*").alias("loaded"))
-    staged = written(within_length(measured, shortest, longest), "cleaned")
-    unique = unique_rows(staged).withColumn("text_key", F.hex("text_key"))
+    corpus = load_order(read_mixed(spark, input_dir, txt_label, split_above))
+    staged = written(cleaned(corpus), "cleaned")
+    kept = within_length(staged, shortest, longest)
+    unique = unique_rows(kept).withColumn("text_key", F.hex("text_key"))
     unique = written(unique, "unique")
     chosen = stratified_split(
         balance(unique, seed, "text_key"), seed, "text_key", train_share, val_share
@@ -97,12 +96,7 @@ def prepare_dataset(
     write_splits(result, f"{output_dir}/splits", fmt)
     statistics = split_statistics(chosen)
     write_small(statistics, f"{output_dir}/statistics")
-    return {
-        **statistics.first().asDict(recursive=True),
-        "stages": {
-            "loaded": seen.get["loaded"],
-            "length": staged.count(),
-            "unique": unique.count(),
-            "balanced": chosen.count(),
-        },
-    }
+    rows = statistics.first().asDict(recursive=True)
+    long_enough = F.col("text_len").between(shortest, longest)
+    stages = stage_counts(staged, {"loaded": F.lit(True), "length": long_enough}).first().asDict()
+    return {**rows, "stages": {**stages, "unique": unique.count(), "balanced": rows["total"]}}

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators.summary import FAMILY, one_report, summarize_family
+from ..operators.summary import available_reports, one_report, summarize_family
 from .tables import CSV_FORMAT
 
 ROWS_PER_FILE = 1_000_000
@@ -52,10 +52,10 @@ def write_predictions(
     if fmt == "csv":
         reader = reader.options(**CSV_FORMAT, multiLine="true")
     stored = reader.format(fmt).load(stored_path)
-    present = {
-        name: columns for name, columns in FAMILY.items() if set(columns) & set(stored.columns)
-    }
-    table = summarize_family(stored, present).cache()
-    for name, columns in present.items():
-        write_small(one_report(table, name, columns), f"{path}/{name}", report_fmt)
+    reports = available_reports(stored.columns)
+    if not reports:
+        return
+    table = summarize_family(stored).cache()
+    for name in reports:
+        write_small(one_report(table, name), f"{path}/{name}", report_fmt)
     table.unpersist()

@@ -101,7 +101,8 @@ def read_csv(
     ``year_from_name`` a file without a ``year`` column gets the number before the
     first underscore of its name; a null year in a file that has one stays null.
 
-    Cells may hold line ends, so a CSV file cannot be cut: each is read by one task.
+    Cells may hold line ends (a CRLF is read as LF where rows end in CRLF too), so a
+    CSV file cannot be cut: each is read by one task.
     Large corpora should be stored as Parquet.
     """
     frames = []
