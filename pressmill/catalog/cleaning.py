@@ -31,8 +31,9 @@ for _name, _step, _sql in (
     _clean_step(_name, _step, _sql)
 
 
-@query(f"SELECT page_id, {v.sql_clean('html')} AS text, length({v.sql_clean('html')}) AS text_len "
-       "FROM pages")
+@query(f"""
+  SELECT page_id, text, CAST(length(text) AS INTEGER) AS text_len
+  FROM (SELECT page_id, {v.sql_clean('html')} AS text FROM pages)""")
 def clean_html_pages(spark, sf_dir):
     pages = v.spread(v.table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     cleaned = pages.select("page_id", cleaning.clean_text(F.col("html")).alias("text"))

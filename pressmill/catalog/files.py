@@ -43,7 +43,7 @@ def _bucket(df: DataFrame) -> DataFrame:
 
 
 @query(v.with_(v.DOCUMENTS, v.DUMPS, select="""
-  SELECT bucket, length(value) AS n_chars, md5(value) AS value_md5 FROM (
+  SELECT bucket, CAST(length(value) AS INTEGER) AS n_chars, md5(value) AS value_md5 FROM (
     SELECT bucket, string_agg(article, chr(10) ORDER BY article_id) || chr(10) AS value
     FROM dumps GROUP BY bucket)"""))
 def dump_scan(spark, sf_dir):

@@ -156,7 +156,7 @@ def train_multi_seed(spark, sf_dir):
     measured = within_length(cleaned(v.corpus(spark, sf_dir)))
     first = unique_rows(measured.select("article_id", "label", "text", "text_len"))
     unique = measured.join(first.select("article_id"), "article_id", "left_semi")
-    return runs_table(unique, train_runs(unique, max_iter=10, features=1 << 12))
+    return runs_table(unique, train_runs(unique, max_iter=10, features=1 << 12, parallelism=5))
 
 
 # --- rewriting ---------------------------------------------------------------------------------

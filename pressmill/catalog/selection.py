@@ -17,7 +17,8 @@ from .registry import query
 # --- the preparation job in SQL --------------------------------------------------------
 
 MEASURED = f"""measured AS (
-  SELECT article_id, label, source, year, category, clean AS text, length(clean) AS text_len
+  SELECT article_id, label, source, year, category, clean AS text,
+    CAST(length(clean) AS INTEGER) AS text_len
   FROM (SELECT *, {v.sql_clean('text')} AS clean FROM corpus))"""
 UNIQUE = """kept AS (SELECT * FROM measured WHERE text_len BETWEEN 200 AND 50000),
 unique_rows AS (

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -17,6 +18,7 @@ from ..functions.fixed import SEED
 from ..functions.prediction import prediction_columns
 from ..operators.metrics import METRICS, classification_metrics
 from ..operators.sampling import balance, stratified_split
+from ..session import written
 
 RUNS = 5
 REGULARIZATION = (0.01, 0.1)
@@ -91,21 +93,26 @@ def train_runs(
     reg_params: Sequence[float] = REGULARIZATION,
     max_iter: int = 20,
     features: int = FEATURES,
+    parallelism: int = 1,
 ) -> list[Run]:
     """Runs with seeds ``seed, seed + 1, …`` on a corpus of cleaned, unique texts.
 
     The fit has no random start, so the seed draws the sample and the split. Words
-    are counted once for all runs. ``features`` is the width of the hashed word space,
+    are counted and stored once for all runs. ``features`` is the width of the hashed word space,
     which bounds the model and what a fit sends around, whatever the corpus.
+    ``parallelism`` runs share the cluster at a time, as in Spark's own tuning; it
+    helps where a single fit leaves cores idle.
     """
     counts = PipelineModel(_words(features)).transform(unique.select(key, "label", "text"))
-    counts = counts.select(key, "label", "counts").persist(StorageLevel.MEMORY_AND_DISK)
-    runs = []
-    for i in range(n_runs):
+    counts = written(counts.select(key, "label", "counts"), "word-counts")
+
+    @inheritable_thread_target(counts.sparkSession)
+    def run(i: int) -> Run:
         chosen = stratified_split(balance(counts, seed + i, key), seed + i, key)
-        runs.append(train_run(chosen, i + 1, seed + i, reg_params, max_iter))
-    counts.unpersist()
-    return runs
+        return train_run(chosen, i + 1, seed + i, reg_params, max_iter)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(run, range(n_runs)))
 
 
 def runs_table(df: DataFrame, runs: Sequence[Run]) -> DataFrame:

@@ -39,6 +39,10 @@ def _bag(columns, rows):
     return collections.Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, sf_dir, function, sql):
     """None if equal, else what differs."""
     df = function(spark, sf_dir)
@@ -48,6 +52,10 @@ def compare(spark, con, sf_dir, function, sql):
     want = _bag(names, result.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} instead of {sorted(names)}"
+    have = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    need = {name: str(kind) for name, kind, *_ in result.description}
+    if have != need:
+        return f"types differ: {[(n, have[n], need[n]) for n in have if have[n] != need[n]]}"
     if got != want:
         extra, missing = got - want, want - got
         return (
