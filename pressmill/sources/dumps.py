@@ -16,7 +16,7 @@ from ..functions.blanks import fold_newlines
 from ..functions.fixed import DEFAULT_EXCLUDED_CATEGORIES
 from ..operators.articles import corpus_rows, parse_blocks, split_blocks
 
-SPLIT_ABOVE = 256 * 1024 * 1024
+SPLIT_ABOVE = 64 * 1024 * 1024
 MARK = "<***>"
 BOM = chr(0xFEFF)
 

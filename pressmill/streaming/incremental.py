@@ -1,7 +1,8 @@
 """Scoring dumps as they arrive.
 
 Parsing, cleaning and scoring work row by row, so the batch functions run on a stream
-unchanged. Sampling and splitting need all rows and stay batch jobs.
+unchanged. Sampling and splitting need all rows and stay batch jobs. A streamed file is
+read whole; very large dumps are for the batch readers.
 """
 
 from __future__ import annotations
