@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F
 from ..functions import cleaning, metadata as meta
 from ..functions.blanks import squeeze
 from ..functions.prediction import head_words, prediction_columns, softmax_pair
+from ..operators.cleaning import with_clean_text
+from ..operators.filters import with_length
 from . import views as v
 from .registry import query
 
@@ -20,7 +22,6 @@ def _clean_step(name: str, step: Callable[[Column], Column], sql: Callable[[str]
 
 
 for _name, _step, _sql in (
-    ("clean_text", cleaning.clean_text, v.sql_clean),
     ("clean_delimiter", cleaning.drop_delimiters, v.sql_delimiter),
     ("clean_headers", cleaning.drop_header_lines, v.sql_headers),
     ("clean_tags", cleaning.drop_tags, v.sql_tags),
@@ -31,13 +32,23 @@ for _name, _step, _sql in (
     _clean_step(_name, _step, _sql)
 
 
+@query(v.with_(v.NOISY, select=f"SELECT article_id, {v.sql_clean('text')} AS text FROM noisy"))
+def clean_text(spark, sf_dir):
+    return with_clean_text(v.noisy(spark, sf_dir))
+
+
+@query(v.with_(v.NOISY, select=f"SELECT article_id, {v.sql_clean('text')} AS text FROM noisy"))
+def clean_text_column(spark, sf_dir):
+    """The same as one column expression."""
+    return v.noisy(spark, sf_dir).withColumn("text", cleaning.clean_text(F.col("text")))
+
+
 @query(f"""
   SELECT page_id, text, CAST(length(text) AS INTEGER) AS text_len
   FROM (SELECT page_id, {v.sql_clean('html')} AS text FROM pages)""")
 def clean_html_pages(spark, sf_dir):
     pages = v.spread(v.table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
-    cleaned = pages.select("page_id", cleaning.clean_text(F.col("html")).alias("text"))
-    return cleaned.withColumn("text_len", F.length("text"))
+    return with_length(with_clean_text(pages, "html", "text").drop("html"))
 
 
 @query(v.with_(v.NOISY, select=f"""

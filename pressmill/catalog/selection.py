@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import clean_text
 from ..functions.metadata import ai_era
 from ..operators import counters, filters
+from ..operators.cleaning import with_clean_text
 from ..operators.dedup import keep_first
 from ..operators.sampling import balance, shuffle_rank, stratified_split
 from ..plans.prepare import cleaned, prepare, unique_rows
@@ -130,7 +130,7 @@ def union_sources(spark, sf_dir):
   QUALIFY row_number() OVER (PARTITION BY text ORDER BY article_id) = 1"""))
 def dedup_keep_first(spark, sf_dir):
     docs = v.documents(spark, sf_dir)
-    docs = docs.select("article_id", "source", clean_text(F.col("text")).alias("text"))
+    docs = with_clean_text(docs.select("article_id", "source", "text"))
     return keep_first(docs, "article_id")
 
 

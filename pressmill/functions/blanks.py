@@ -17,6 +17,14 @@ BLANK_CHARS = "".join(
               0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 )
 
+# Runs of blanks other than the plain space. Latin-1 characters are listed one by one, which
+# makes them one table look-up; the range in front of the rest settles nearly all others.
+_OTHER_BLANKS = (
+    r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0[\x{1680}-\x{3000}&&"
+    r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]]+"
+)
+_SPACES = " {2,}"
+
 # What ends a line inside an article (after \r\n and \r were folded to \n in a dump).
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
@@ -28,7 +36,16 @@ def strip(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Every run of Unicode blanks becomes one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(text, f"{BLANK}+", " "))
+    return F.trim(join_spaces(plain_spaces(text)))
+
+
+def plain_spaces(text: Column) -> Column:
+    """Every run of other blanks becomes one space; runs of spaces stay."""
+    return F.regexp_replace(text, _OTHER_BLANKS, " ")
+
+
+def join_spaces(text: Column) -> Column:
+    return F.regexp_replace(text, _SPACES, " ")
 
 
 def fold_newlines(text: Column) -> Column:

@@ -13,7 +13,7 @@ _KEYS = "|".join(re.escape(key) for key in HEADER_KEYS)
 _AGENCIES = "|".join(AGENCIES)
 
 # (?d): only \n ends a line. (?m): ^ and $ work per line.
-DELIMITER = r"<\*{3}>"
+DELIMITER = "<***>"
 HEADER_LINE = rf"(?md)^(?:{_KEYS}){BLANK}*:.*$"
 TAG = r"<[^>]+>"
 ENTITY = r"&[a-z]+;"
@@ -21,7 +21,7 @@ _TAG_OR_ENTITY = r"[<&](?:(?<=<)[^>]+>|(?<=&)[a-z]+;)"
 
 
 def drop_delimiters(text: Column) -> Column:
-    return F.regexp_replace(text, DELIMITER, " ")
+    return F.replace(text, F.lit(DELIMITER), F.lit(" "))
 
 
 def drop_header_lines(text: Column) -> Column:
@@ -38,6 +38,15 @@ def drop_entities(text: Column) -> Column:
     return F.regexp_replace(text, ENTITY, " ")
 
 
+def drop_markup(text: Column) -> Column:
+    """Tags, then entities, in one pass.
+
+    They cannot overlap partly, as an entity holds no angle bracket. The pattern starts
+    with one character class, so most characters cost one look.
+    """
+    return F.regexp_replace(text, _TAG_OR_ENTITY, " ")
+
+
 def _byline(before: str, max_chars: int | None) -> str:
     tail = "*" if max_chars is None else f"{{0,{int(max_chars)}}}"
     return rf"(?d){before}[(\-–—]{BLANK}*(?:{_AGENCIES})[^)]{tail}\)?\.?{BLANK}*$"
@@ -53,16 +62,16 @@ def drop_byline(text: Column, max_chars: int | None = None) -> Column:
     return F.regexp_replace(text, _byline(f"{BLANK}*", max_chars), "")
 
 
+def drop_byline_only(text: Column, max_chars: int | None = None) -> Column:
+    """The byline without the blanks before it, for a text that is trimmed later."""
+    return F.regexp_replace(text, _byline("", max_chars), "")
+
+
 def clean_text(text: Column, byline_max_chars: int | None = None) -> Column:
     """The whole cleaning; null becomes the empty string.
 
-    The order matters: a delimiter becomes a blank before header lines are looked
-    for. Three shortcuts save passes and steps over every character: tags and
-    entities go in one pass (they cannot overlap partly, as an entity holds no angle
-    bracket); their pattern starts with one character class; and the blanks before a
-    byline are left to the last step, which trims the end anyway.
+    The order matters: a delimiter becomes a blank before header lines are looked for.
     """
     text = F.coalesce(text, F.lit(""))
-    text = drop_header_lines(drop_delimiters(text))
-    text = F.regexp_replace(text, _TAG_OR_ENTITY, " ")
-    return squeeze(F.regexp_replace(text, _byline("", byline_max_chars), ""))
+    text = drop_markup(drop_header_lines(drop_delimiters(text)))
+    return squeeze(drop_byline_only(text, byline_max_chars))

@@ -11,9 +11,9 @@ from collections.abc import Callable, Mapping
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.cleaning import clean_text
 from ..functions.fixed import SCORE_BATCH
 from ..functions.prediction import head_words, prediction_columns, softmax_pair
+from .cleaning import with_clean_text
 
 Scorer = Callable[[Column], Column]
 
@@ -46,13 +46,14 @@ def score_table(
     The model sees the text cleaned as for training, while the stored text stays
     raw. Null and empty texts are scored as well. Rows are scored where they are.
     """
-    seen = F.coalesce(F.col(text), F.lit(""))
+    kept = [F.col(name) for name in df.columns]
     if clean:
-        seen = clean_text(seen)
+        scored = with_clean_text(df, text, "_seen")
+    else:
+        scored = df.withColumn("_seen", F.coalesce(F.col(text), F.lit("")))
     if max_words is not None:
-        seen = head_words(seen, max_words)
-    kept = [F.col(name) for name in df.columns]
-    scored = df.withColumn("_seen", seen).withColumn("_logits", scorer(F.col("_seen")))
+        scored = scored.withColumn("_seen", head_words(F.col("_seen"), max_words))
+    scored = scored.withColumn("_logits", scorer(F.col("_seen")))
     human, ai = softmax_pair(F.col("_logits")[0], F.col("_logits")[1])
     scored = scored.select(*kept, human.alias("_human"), ai.alias("_ai"))
     columns: Mapping[str, Column] = prediction_columns(F.col("_human"), F.col("_ai"))

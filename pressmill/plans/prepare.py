@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.cleaning import clean_text
 from ..functions.fixed import MAX_LENGTH, MIN_LENGTH, SEED, TRAIN_SHARE, VAL_SHARE
+from ..operators.cleaning import with_clean_text
 from ..operators.counters import split_statistics, stage_counts
 from ..operators.dedup import first_copies, text_key
 from ..operators.filters import require_columns, with_length, within_length
 from ..operators.sampling import balance, stratified_split
-from ..session import computed_once, written
+from ..session import written
 from ..sources.dumps import SPLIT_ABOVE
 from ..sources.sinks import write_small, write_splits
 from ..sources.tables import read_mixed
@@ -18,7 +18,7 @@ from ..sources.tables import read_mixed
 
 def cleaned(corpus: DataFrame) -> DataFrame:
     """Cleaned text and its length in characters."""
-    return with_length(computed_once(corpus, "text", clean_text(F.col("text"))))
+    return with_length(with_clean_text(corpus))
 
 
 def unique_rows(measured: DataFrame, key: str = "article_id") -> DataFrame:
@@ -53,7 +53,7 @@ def prepare(
     chosen = stratified_split(
         balance(unique, seed, key), seed, key, train_share, val_share
     ).select(key, "text_len", "split")
-    return corpus.join(chosen, key).withColumn("text", clean_text(F.col("text")))
+    return with_clean_text(corpus.join(chosen, key))
 
 
 def load_order(corpus: DataFrame) -> DataFrame:

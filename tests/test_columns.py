@@ -10,6 +10,7 @@ from pressmill.functions import cleaning, metadata as meta
 from pressmill.functions.blanks import BLANK_CHARS, squeeze, strip
 from pressmill.functions.prediction import head_words, prediction_columns, softmax_pair
 from pressmill.functions.rounding import round1_exact, round1_scaled
+from pressmill.operators.cleaning import with_clean_text
 
 
 def apply(spark, function, values, kind="string"):
@@ -21,6 +22,10 @@ def apply(spark, function, values, kind="string"):
 def check(spark, function, cases):
     got = apply(spark, function, [text for text, _ in cases])
     assert got == [want for _, want in cases]
+    if function is cleaning.clean_text:
+        rows = [(i, text) for i, (text, _) in enumerate(cases)]
+        df = with_clean_text(spark.createDataFrame(rows, "i int, text string"))
+        assert [r.text for r in df.orderBy("i").collect()] == got
 
 
 NBSP, THIN, LS = "\xa0", chr(0x2009), chr(0x2028)
@@ -71,6 +76,18 @@ def test_one_pass_equals_two(spark):
     assert both == apply(spark, lambda c: cleaning.drop_entities(cleaning.drop_tags(c)), texts)
 
 
+def test_staged_cleaning_equals_the_column(spark):
+    rng = random.Random(4)
+    parts = ["<***>", "NASLOV: x", "\n", " ", "  ", NBSP, LS, "<b>", "&amp;", "(", "- ", "FENA",
+             "AP", ")", ".", "tekst", "č", "<", ">", "\r", "AUTOR(I) :", "—"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    staged = [r.text for r in with_clean_text(df).orderBy("i").collect()]
+    assert staged == apply(spark, cleaning.clean_text, texts)
+    kept = with_clean_text(df, "text", "seen").orderBy("i").collect()
+    assert [r.text for r in kept] == texts and [r.seen for r in kept] == staged
+
+
 def test_byline(spark):
     check(spark, cleaning.clean_text, [
         ("tekst (FENA)", "tekst"),
