@@ -49,7 +49,9 @@ def join_spaces(text: Column) -> Column:
 
 
 def fold_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    """CRLF and lone CR become LF, by byte search."""
+    unix = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    return F.replace(unix, F.lit("\r"), F.lit("\n"))
 
 
 def lines(text: Column) -> Column:

@@ -31,6 +31,7 @@ def with_clean_text(
     the text do not recompute it.
     """
     kept = [c for c in df.columns if c != target]
+    order = df.columns if target in df.columns else [*kept, target]
     text = F.col("_clean")
 
     def step(frame: DataFrame, change: Column, needs=None) -> DataFrame:
@@ -44,4 +45,4 @@ def with_clean_text(
     df = step(df, cleaning.drop_byline_only(text, byline_max_chars), AGENCIES)
     df = step(df, plain_spaces(text))
     df = step(df, join_spaces(text), ("  ",))
-    return computed_once(df, target, F.trim(text)).drop("_clean")
+    return computed_once(df, target, F.trim(text)).select(*order)

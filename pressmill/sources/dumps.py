@@ -290,4 +290,7 @@ def load_categories(
     blocks = blocks.withColumn("category", category)
     if excluded:
         blocks = blocks.where(~F.col("category").isin(*excluded))
-    return corpus_rows(parse_blocks(blocks), label, include_title, default_source)
+    articles = parse_blocks(blocks)
+    if articles.select("path").isEmpty():
+        raise FileNotFoundError(f"no articles in the category folders of {base}")
+    return corpus_rows(articles, label, include_title, default_source)

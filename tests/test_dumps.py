@@ -189,3 +189,11 @@ def test_category_fallback_to_the_base_folder(spark, folder):
     assert rows(load_categories(spark, base), "category", "year") == [("arhiva", 2001)]
     with pytest.raises(FileNotFoundError):
         load_categories(spark, base, fallback=False)
+
+
+def test_categories_without_articles(spark, folder):
+    put(folder, "a/a.txt", "<***>\nNASLOV: samo zaglavlje")
+    put(folder, "Karikature i stripovi/a.txt", "tekst")
+    with pytest.raises(FileNotFoundError):
+        load_categories(spark, folder)
+    assert load_categories(spark, folder, exclude={"a"}).count() == 1
