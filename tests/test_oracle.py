@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from pressmill.catalog import ORACLE, QUERIES
 from tests.oracle import compare, connect
 
 # Long fits are tested on their own.
@@ -14,13 +15,13 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_agrees_with_sql(spark, connection, sf_dir, name):
-    assert compare(spark, connection, sf_dir, queries()[name], oracle_sql()[name]) is None
+    assert compare(spark, connection, sf_dir, QUERIES[name], ORACLE[name]) is None
 
 
 def test_only_training_has_no_sql():
-    assert set(queries()) - set(oracle_sql()) == SLOW
+    assert set(QUERIES) - set(ORACLE) == SLOW
 
 
 def test_entry(spark):
