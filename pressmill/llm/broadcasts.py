@@ -1,0 +1,15 @@
+"""Broadcasts behind a check of size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+BROADCAST_ROWS = 1 << 19
+
+
+def small_enough(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of a few bytes a row, with a broadcast hint if its counted rows are few.
+
+    Beyond the bound it is returned as it is, and Spark joins by sorting and shuffling.
+    """
+    return F.broadcast(table) if table.count() <= rows else table

@@ -6,7 +6,9 @@ Jaccard similarity of their sets reaches ``num / den``. A set of size ``n`` can
 frequent last, by hash within a class, and a *prefix* is taken so long that no ``slack``
 losses can remove all of its signatures:
 
-* a token of the rare class is a signature by itself;
+* a token of the rare class is a signature by itself (rare: in fewer documents than
+  ``frequent``; with the default 2, such a token has no partner and only fills the prefix, so
+  a text that is mostly its own emits nothing at all);
 * tokens of the frequent class are dealt into groups, and every pair of prefix tokens of one
   group is a signature. A group of ``c`` tokens survives ``c - 2`` losses, so it counts
   ``c - 1`` towards the prefix, which is extended accordingly.
@@ -34,11 +36,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressmill.session import written
 
+from .broadcasts import small_enough
 from .graph import components
 from .words import mix, shingles, slices, word_hashes
 
 FLAG_BITS = 27
-FREQUENT = 64
+FREQUENT = 2
 FLUSH = 1 << 21
 PER_PART = 1 << 22
 
@@ -160,7 +163,7 @@ def prefix_signatures(tokens, repeated, frequent, num: int, den: int) -> np.ndar
 
 
 def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
-    """(doc, text) -> (doc, n, cls, sigs, tokens); the last two once a class and stretch of texts."""
+    """(doc, text) -> (doc, n, cls, sigs); signatures come once a class and task."""
     shift, seven, one = np.uint64(64 - flag_bits), np.uint64(7), np.uint8(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,14 +172,13 @@ def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
         for batch in batches:
             docs = batch.column(0)
             for lo, hi, words in slices(batch.column(1)):
-                size, cls, sigs, sets = [], [], [], []
+                size, cls, sigs = [], [], []
                 for tokens in shingles(word_hashes(words, lower), words.first, n):
                     size.append(len(tokens))
                     name = int(mix(np.array([mix(tokens).sum() + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
                     cls.append(name if len(tokens) else None)
                     if not len(tokens) or name in seen:
                         sigs.append(None)
-                        sets.append(None)
                         continue
                     if len(seen) < 1_000_000:
                         seen.add(name)
@@ -185,11 +187,9 @@ def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
                     repeated, frequent = ((f[byte] >> bit & one).astype(bool) for f in flags)
                     own = prefix_signatures(tokens, repeated, frequent, num, den)
                     sigs.append(own.view(np.int64) if len(own) else None)
-                    sets.append(tokens.tobytes() if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
                     [docs.slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()),
-                     pa.array(sigs, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
-                    ["doc", "n", "cls", "sigs", "tokens"])
+                     pa.array(sigs, pa.list_(pa.int64()))], ["doc", "n", "cls", "sigs"])
 
     return run
 
@@ -209,12 +209,32 @@ def _verified(num: int, den: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets are similar enough."""
+def _sets(n: int, lower: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, words in slices(batch.column(1)):
+                sets = [s.tobytes() for s in shingles(word_hashes(words, lower), words.first, n)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], ["cls", "tokens"])
+
+    return run
+
+
+def _links(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, lower: bool, num: int, den: int) -> DataFrame:
+    """The pairs (``a``, ``b``) whose sets are similar enough, by the texts of their owners.
+
+    Only documents in pairs are read into sets; the larger side stays where it is if the list
+    of those documents is small enough to broadcast.
+    """
+    pairs = written(pairs, "pairs")
+    asked = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    asked = written(owners.join(asked, "cls").select("cls", F.col("least").alias("doc")), "asked")
+    texts = docs.join(small_enough(asked), "doc")
+    sets = written(texts.select("cls", "text").mapInArrow(_sets(n, lower), "cls long, tokens binary"), "sets")
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b"
     )
-    return both.select("a", "b", "x", "y").mapInArrow(_verified(num, den), "a long, b long")
+    return written(both.select("a", "b", "x", "y").mapInArrow(_verified(num, den), "a long, b long"), "links")
 
 
 def jaccard_components(
@@ -244,7 +264,7 @@ def jaccard_components(
     maps = spark.sparkContext.broadcast(token_flags(docs, "text", n, lower, frequent, flag_bits))
     signed = written(
         docs.mapInArrow(_signed(n, lower, num, den, maps, flag_bits),
-                        "doc long, n long, cls long, sigs array<long>, tokens binary"),
+                        "doc long, n long, cls long, sigs array<long>"),
         "signed",
     )
     entries = written(
@@ -257,13 +277,9 @@ def jaccard_components(
     sizes = shared.where("cls = lead").select("sig", F.col("n").alias("m"))
     shared = written(shared.join(sizes, "sig").select("sig", "cls", "n", "lead", "m"), "shared")
     first = shared.where("cls <> lead").where(near).select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct()
-    # A class may have been signed in several tasks; one of its equal sets is enough.
-    sets = signed.where("tokens is not null").select("cls", "tokens")
-    sets = written(
-        sets.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("tokens").alias("tokens")),
-        "sets",
-    )
-    links = written(_links(first, sets, num, den), "links")
+    owners = written(
+        signed.where("cls is not null").groupBy("cls").agg(F.min("doc").alias("least")), "owners")
+    links = _links(first, docs, owners, n, lower, num, den)
     found = components(links)
     placed = shared.join(found.select(F.col("id").alias("cls"), "component"), "cls", "left").select(
         "sig", "cls", "n", F.coalesce("component", "cls").alias("component"))
@@ -276,12 +292,13 @@ def jaccard_components(
         .where((F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & near)
         .select("a", "b").distinct()
     )
-    more = written(_links(rest, sets, num, den), "links")
+    more = _links(rest, docs, owners, n, lower, num, den)
     found = components(links.union(more))
-    owners = signed.where("cls is not null").groupBy("cls").agg(F.min("doc").alias("least"))
-    owners = owners.join(found.withColumnRenamed("id", "cls"), "cls", "left").select(
-        "cls", "least", F.coalesce("component", "cls").alias("component"))
-    owners = written(owners, "classes")
+    owners = written(
+        owners.join(found.withColumnRenamed("id", "cls"), "cls", "left").select(
+            "cls", "least", F.coalesce("component", "cls").alias("component")),
+        "classes",
+    )
     smallest = owners.groupBy("component").agg(F.min("least").alias("smallest"))
     classes = owners.join(smallest, "component").select("cls", "smallest")
     return signed.select("doc", "n", "cls").join(classes, "cls", "left").select(
