@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pressmill.session import written
-
+from .limits import written
 
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` for every id of ``links`` (``a``, ``b``, any integers, any order).

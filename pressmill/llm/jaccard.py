@@ -34,15 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressmill.session import written
 
-from .broadcasts import small_enough
 from .graph import components
+from .limits import small_enough, written
 from .words import mix, shingles, slices, word_hashes
 
 FLAG_BITS = 27
 FREQUENT = 2
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 PER_PART = 1 << 22
 
 
@@ -95,19 +94,20 @@ def _flags(bits: int, flag_bits: int, frequent: int):
         total = np.add.reduceat(counts.astype(np.int64), heads)
         at = lows[heads] >> np.uint32(32 + bits - flag_bits)
         out = []
-        for least in (2, frequent):
+        for least in sorted({2, frequent}):
             bitmap = np.zeros(width, bool)
             bitmap[at[total >= least]] = True
             out.append(np.packbits(bitmap, bitorder="little").tobytes())
         return pa.table({"part": pa.array([batch["part"][0].as_py()], pa.int32()),
                          "repeated": pa.array([out[0]], pa.binary()),
-                         "frequent": pa.array([out[1]], pa.binary())})
+                         "frequent": pa.array([out[-1]], pa.binary())})
 
     return run
 
 
 def token_flags(docs: DataFrame, text: str, n: int, lower: bool, frequent: int, flag_bits: int):
-    """Two bit maps of ``2**flag_bits`` bits over token hashes, from counts of all documents.
+    """Bit maps of ``2**flag_bits`` bits over token hashes, from counts of all documents: tokens
+    of more than one document, and frequent ones (left out if that is the same).
 
     Their size is fixed, whatever the corpus. Tokens that share a bit share a class, which is
     a matter of speed alone: a set bit never hides a link. Counting moves four bytes a token.
@@ -121,7 +121,7 @@ def token_flags(docs: DataFrame, text: str, n: int, lower: bool, frequent: int,
     for row in parts.toLocalIterator():
         for whole, own in zip(maps, (row["repeated"], row["frequent"])):
             whole[row["part"] * each : (row["part"] + 1) * each] = own
-    return bytes(maps[0]), bytes(maps[1])
+    return (bytes(maps[0]),) if frequent == 2 else tuple(map(bytes, maps))
 
 
 def _groups(slack: int) -> int:
@@ -184,8 +184,8 @@ def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
                         seen.add(name)
                     at = tokens >> shift
                     byte, bit = at >> np.uint64(3), (at & seven).astype(np.uint8)
-                    repeated, frequent = ((f[byte] >> bit & one).astype(bool) for f in flags)
-                    own = prefix_signatures(tokens, repeated, frequent, num, den)
+                    marked = [(f[byte] >> bit & one).astype(bool) for f in flags]
+                    own = prefix_signatures(tokens, marked[0], marked[-1], num, den)
                     sigs.append(own.view(np.int64) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
                     [docs.slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()),
@@ -234,7 +234,7 @@ def _links(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, lower:
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b"
     )
-    return written(both.select("a", "b", "x", "y").mapInArrow(_verified(num, den), "a long, b long"), "links")
+    return written(both.select("a", "b", "x", "y").mapInArrow(_verified(num, den), "a long, b long"), "links", 128)
 
 
 def jaccard_components(
