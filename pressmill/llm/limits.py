@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pressmill import session
 
-BROADCAST_ROWS = 1 << 19
+BROADCAST_ENTRIES = 1 << 19
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def small_enough(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table of a few bytes a row, with a broadcast hint if its counted rows are few.
+def small_enough(table: DataFrame, entries: Column | None = None, most: int = BROADCAST_ENTRIES) -> DataFrame:
+    """A written table with a broadcast hint if its counted entries are few.
 
-    Beyond the bound it is returned as it is, and Spark joins by sorting and shuffling.
+    An entry is a row of some numbers or, where ``entries`` tells their number, one of the
+    structs of numbers in a row's list. Beyond the bound the table is returned as it is, and
+    Spark joins by sorting and shuffling.
     """
-    return F.broadcast(table) if table.count() <= rows else table
+    size = table.agg(F.sum(F.lit(1) if entries is None else entries + 1)).first()[0] or 0
+    return F.broadcast(table) if size <= most else table
 
 
 def written(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:

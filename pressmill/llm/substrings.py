@@ -92,6 +92,9 @@ def _entries(window: int, bits: int):
         heads = np.flatnonzero(np.r_[True, known[1:] != known[:-1]])
         source = np.empty(len(at), np.int64)
         source[order] = np.repeat(order[heads], np.diff(np.r_[heads, len(at)]))
+        # In one text, point to the place just before: repetitions of a period make one run.
+        again = np.flatnonzero((known[1:] == known[:-1]) & (row[order[1:]] == row[order[:-1]]))
+        source[order[again + 1]] = order[again]
         later = np.flatnonzero(source != np.arange(len(at)))
         # Rows of one id may stand in several texts; equal places are no earlier start.
         later = later[(doc[later] != doc[source[later]]) | (pos[later] != pos[source[later]])]
@@ -325,7 +328,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "wanted",
     )
     parts = written(
-        docs.join(small_enough(wanted), "doc").select("text", "wanted").mapInArrow(
+        docs.join(small_enough(wanted, F.size("wanted")), "doc").select("text", "wanted").mapInArrow(
             _cut, "ref boolean, ref_doc long, block long, doc long, start long, words binary"),
         "stretches",
     )
@@ -366,7 +369,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spans = repeated_spans(docs, id_col, text_col, window=window)
     spans = written(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "document-spans")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), key_of(id_col).alias("doc"), F.col(text_col).alias("text"))
-    rows = rows.join(small_enough(spans), "doc", "left").select("id", "text", "spans")
+    rows = rows.join(small_enough(spans, F.size("spans")), "doc", "left").select("id", "text", "spans")
     kept = rows.mapInArrow(_kept, "id long, n_words long, n_removed long, kept string")
     return kept.withColumnRenamed("id", id_col)
 
