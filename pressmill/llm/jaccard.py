@@ -20,7 +20,8 @@ document; each document emits the signatures for every number a partner may use
 Steps: (1) count every token over all documents; (2) emit signatures; tokens of one document
 only count for the prefix but are not emitted; (3) compare all members of a signature with its
 smallest member, and contract links to components; (4) compare whatever pairs of a signature
-are in different components still. Pairs inside one component cannot change the result, so a
+are in different components still. Before sets are compared, sizes and 256 parity bits a class
+rule out pairs that differ in too many tokens. Pairs inside one component cannot change the result, so a
 group of near copies costs its members, not their pairs.
 
 Tokens and sets are identified by 64-bit hashes. Documents with equal sets are one class.
@@ -29,10 +30,12 @@ Tokens and sets are identified by 64-bit hashes. Documents with equal sets are o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 from .graph import components
@@ -41,10 +44,14 @@ from .words import mix, shingles, slices, word_hashes
 
 FLAG_BITS = 27
 FREQUENT = 2
+PARITIES = 4
 FLUSH = 1 << 20
 PER_PART = 1 << 22
 
 
+_PARITY = [f"p{k}" for k in range(PARITIES)]
+
+
 def parts_for(docs: DataFrame, text: str, per_part: int = PER_PART) -> int:
     """A power of two, in proportion to the bytes of all texts; a word takes some six."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -163,7 +170,7 @@ def prefix_signatures(tokens, repeated, frequent, num: int, den: int) -> np.ndar
 
 
 def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
-    """(doc, text) -> (doc, n, cls, sigs); signatures come once a class and task."""
+    """(doc, text) -> (doc, n, cls, parities, sigs); signatures come once a class and task."""
     shift, seven, one = np.uint64(64 - flag_bits), np.uint64(7), np.uint8(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,11 +179,13 @@ def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
         for batch in batches:
             docs = batch.column(0)
             for lo, hi, words in slices(batch.column(1)):
-                size, cls, sigs = [], [], []
+                size, cls, sigs, parity = [], [], [], []
                 for tokens in shingles(word_hashes(words, lower), words.first, n):
                     size.append(len(tokens))
                     name = int(mix(np.array([mix(tokens).sum() + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
                     cls.append(name if len(tokens) else None)
+                    odd = np.bincount((tokens >> np.uint64(3)) % np.uint64(64 * PARITIES), minlength=64 * PARITIES) & 1
+                    parity.append(np.packbits(odd.astype(bool), bitorder="little").view(np.int64))
                     if not len(tokens) or name in seen:
                         sigs.append(None)
                         continue
@@ -189,7 +198,8 @@ def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
                     sigs.append(own.view(np.int64) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
                     [docs.slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()),
-                     pa.array(sigs, pa.list_(pa.int64()))], ["doc", "n", "cls", "sigs"])
+                     *[pa.array(p, pa.int64()) for p in zip(*parity)], pa.array(sigs, pa.list_(pa.int64()))],
+                    ["doc", "n", "cls", *_PARITY, "sigs"])
 
     return run
 
@@ -220,6 +230,17 @@ def _sets(n: int, lower: bool):
     return run
 
 
+def _may_link(n: str, m: str, p: list[str], q: list[str], num: int, den: int) -> Column:
+    """A bound that no link exceeds, from sizes and parities.
+
+    Every token that only one of two sets has changes one of their parity bits, and a link
+    allows ``(den - num) / (den + num)`` of both sizes together to differ.
+    """
+    differ = reduce(add, [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(p, q)])
+    return (F.greatest(n, m) * num <= F.least(n, m) * den) & (
+        differ * (den + num) <= (F.col(n) + F.col(m)) * (den - num))
+
+
 def _links(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, lower: bool, num: int, den: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose sets are similar enough, by the texts of their owners.
 
@@ -264,32 +285,40 @@ def jaccard_components(
     maps = spark.sparkContext.broadcast(token_flags(docs, "text", n, lower, frequent, flag_bits))
     signed = written(
         docs.mapInArrow(_signed(n, lower, num, den, maps, flag_bits),
-                        "doc long, n long, cls long, sigs array<long>"),
+                        f"doc long, n long, cls long, {', '.join(f'{p} long' for p in _PARITY)}, sigs array<long>"),
         "signed",
     )
     entries = written(
-        signed.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls", "n").distinct(),
+        signed.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls").distinct(),
         "signatures",
     )
     leaders = entries.groupBy("sig").agg(F.min("cls").alias("lead"), F.max("cls").alias("most")).where("lead < most")
     shared = entries.join(leaders.select("sig", "lead"), "sig")
-    near = F.greatest("n", "m") * num <= F.least("n", "m") * den
-    sizes = shared.where("cls = lead").select("sig", F.col("n").alias("m"))
-    shared = written(shared.join(sizes, "sig").select("sig", "cls", "n", "lead", "m"), "shared")
-    first = shared.where("cls <> lead").where(near).select(F.col("cls").alias("a"), F.col("lead").alias("b")).distinct()
+    shared = written(shared.select("sig", "cls", "lead"), "shared")
+    other = {p: f"q{p}" for p in _PARITY}
+    bound = _may_link("n", "m", [*other], [*other.values()], num, den)
+    known = signed.where("sigs is not null").groupBy("cls").agg(
+        F.first("n").alias("n"), *[F.first(p).alias(p) for p in _PARITY])
+    known = written(known, "known")
+    its = known.select(F.col("cls").alias("lead"), F.col("n").alias("m"), *[F.col(p).alias(q) for p, q in other.items()])
+    first = (
+        shared.where("cls <> lead").select("cls", "lead").distinct().join(known, "cls").join(its, "lead")
+        .where(bound).select(F.col("cls").alias("a"), F.col("lead").alias("b"))
+    )
     owners = written(
         signed.where("cls is not null").groupBy("cls").agg(F.min("doc").alias("least")), "owners")
     links = _links(first, docs, owners, n, lower, num, den)
     found = components(links)
     placed = shared.join(found.select(F.col("id").alias("cls"), "component"), "cls", "left").select(
-        "sig", "cls", "n", F.coalesce("component", "cls").alias("component"))
+        "sig", "cls", F.coalesce("component", "cls").alias("component"))
     placed = written(placed, "placed")
     mixed = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    left = placed.join(mixed.select("sig"), "sig", "left_semi")
-    right = left.select("sig", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    left = written(placed.join(mixed.select("sig"), "sig", "left_semi").join(known, "cls"), "open")
+    right = left.select("sig", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
+                        *[F.col(p).alias(q) for p, q in other.items()])
     rest = (
-        left.withColumnRenamed("cls", "a").join(right, "sig")
-        .where((F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & near)
+        left.withColumnRenamed("cls", "a").join(
+            right, (left["sig"] == right["sig"]) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & bound)
         .select("a", "b").distinct()
     )
     more = _links(rest, docs, owners, n, lower, num, den)
