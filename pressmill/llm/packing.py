@@ -32,7 +32,7 @@ SIZE = 2048
 CLASSES = 512
 VOCABULARY = "word_bpe_49k.json"
 END = 0
-HELD_WORDS = 300_000
+HELD_WORDS = 1_000_000
 
 _PIECE = "id long, piece int, start long, length long, ids_crc32 long, token_ids binary, shard int, rank long"
 
@@ -49,31 +49,39 @@ def tokenizer(vocabulary: str):
     return Tokenizer.from_file(public_tokenizers.path(vocabulary))
 
 
-class WordIds:
-    """Ids of texts as bytes of unsigned 32-bit numbers, by way of their words.
+class WordIds(dict):
+    """Words and their ids as bytes of unsigned 32-bit numbers, looked up once a process.
 
     The tokenizer drops white space and never joins across it, so a text has the ids of its
-    words, one after the other. Words seen before are looked up; a full table starts anew.
+    words, one after the other. It also drops case, and a single sign behind a letter stands
+    for itself. Long words are not kept, and a full table starts anew.
     """
 
     def __init__(self, vocabulary: str):
-        self.coder, self.known = tokenizer(vocabulary), {}
+        super().__init__()
+        self.coder = tokenizer(vocabulary)
+
+    def __missing__(self, word: bytes) -> bytes:
+        small = word.lower()  # A-Z only
+        if small != word:
+            ids = self[small]
+        elif len(word) > 1 and word[-1:] in b".,;:!?" and word[:-1].decode()[-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        else:
+            ids = np.array(self.coder.encode(word.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
+        if len(word) <= 64:
+            self[word] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        if len(self.known) > HELD_WORDS:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        coded = self.coder.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        own = {w: np.array(c.ids, np.uint32).tobytes() for w, c in zip(new, coded)}
-        self.known.update((w, ids) for w, ids in own.items() if len(w) <= 64)
-        own = self.known | own if any(len(w) > 64 for w in new) else self.known
-        return [b"".join([own[w] for w in words]) for words in split]
+        if len(self) > HELD_WORDS:
+            self.clear()
+        return [b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
 @lru_cache(maxsize=2)
 def word_ids(vocabulary: str) -> WordIds:
-    """One table of words a process, kept from task to task."""
+    """One table a process, kept from task to task."""
     return WordIds(vocabulary)
 
 
