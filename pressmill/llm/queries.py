@@ -7,12 +7,14 @@ from .jaccard import ngram_jaccard
 from .packing import best_fit_packing
 from .secrets import secret_scan
 from .substrings import substring_dedup
+from .toxicity import toxicity
 from .urls import url_filter
 
 QUERIES = {
     "op1_ngram_jaccard": ngram_jaccard,
     "op2_substring_dedup": substring_dedup,
     "op3_chat_format": chat_format,
+    "op4_toxicity": toxicity,
     "op5_secret_scan": secret_scan,
     "op7_best_fit_packing": best_fit_packing,
     "op10_url_filter": url_filter,
