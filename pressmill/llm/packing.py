@@ -18,6 +18,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from .limits import written
 from .words import slices
 
 SIZE = 2048
-CLASSES = 512
+CLASSES = 256
 VOCABULARY = "word_bpe_49k.json"
 END = 0
 HELD_WORDS = 1_000_000
@@ -123,7 +124,7 @@ def patterns(classes: int) -> np.ndarray:
     return np.stack([a[fits], b[fits], c[fits]], axis=1)
 
 
-def fit(counts: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+def fit(counts: np.ndarray, shapes: np.ndarray, least: float = 0.5) -> np.ndarray:
     """Repeat counts ``x >= 0`` of the patterns with ``A x`` nearest to ``counts``.
 
     Active-set non-negative least squares. Column ``j`` of ``A`` counts the classes of pattern
@@ -144,12 +145,13 @@ def fit(counts: np.ndarray, shapes: np.ndarray) -> np.ndarray:
         pull = np.where(np.arange(n) > 0, rest, 0.0)[shapes].sum(axis=1)
         pull[free] = -np.inf
         best = int(np.argmax(pull))
-        if pull[best] <= 1e-6 * max(1.0, target.max()):
+        # A pattern that would explain less than half a sequence cannot get a whole repeat.
+        if pull[best] <= max(least, 1e-5 * target.max()):
             break
         free.append(best)
         while free:
             own = columns(free)
-            solved = np.linalg.lstsq(own.T @ own + 1e-9 * np.eye(len(free)), own.T @ target, rcond=None)[0]
+            solved = np.linalg.solve(own.T @ own + 1e-8 * np.eye(len(free)), own.T @ target)
             if (solved > 1e-9).all():
                 x[free] = solved
                 break
@@ -187,36 +189,35 @@ class Plan:
 
 
 def make_plan(histogram: dict[int, int], size: int = SIZE, classes: int = CLASSES) -> Plan:
+    """Fitted patterns first, in lengths that fill a sequence exactly; the rest best-fit."""
     left = np.zeros(size + 1, np.int64)
     for length, count in histogram.items():
         left[length] = count
-    plan, classes = Plan(size), min(classes, size)
-    width = -(-size // classes)
-    by_class = np.zeros(classes + 1, np.int64)
+    plan, width = Plan(size), -(-size // min(classes, size))
+    by_class = np.zeros(size + 2, np.int64)
     np.add.at(by_class, -(-np.arange(size + 1) // width), left)
-    shapes = patterns(size // width)
-    repeats = fit(by_class[: size // width + 1], shapes)
+    # Lengths are up to a class too short, on average half of it: one class more makes up for it.
+    total = -(-size // width) + (width > 1)
+    shapes = patterns(total)
+    repeats = fit(by_class[: total + 1], shapes)
     for j in np.argsort(-repeats, kind="stable"):
         times = int(repeats[j] + 1e-6)
         if times < 1:
             break
-        slots = [int(c) for c in shapes[j] if c]
-        while times:
-            picked: list[int] = []
-            for c in slots:
-                # The longest length of the class that still has pieces for this slot.
-                at = next((v for v in range(min(c * width, size), (c - 1) * width, -1)
-                           if left[v] > picked.count(v)), None)
-                if at is None:
-                    break
-                picked.append(at)
-            if len(picked) < len(slots):
-                break
+        lengths = [[v for v in range(c * width, (c - 1) * width, -1) if v <= size] for c in shapes[j].tolist() if c]
+        for head in product(*lengths[:-1]):
+            last = size - sum(head)
+            if last not in lengths[-1]:
+                continue
+            picked = [*head, last]
             now = min(times, *(int(left[v]) // picked.count(v) for v in picked))
-            plan.add([(v, 1) for v in picked], now)
-            for v in picked:
-                left[v] -= now
-            times -= now
+            if now:
+                plan.add([(v, 1) for v in picked], now)
+                for v in picked:
+                    left[v] -= now
+                times -= now
+            if not times:
+                break
     _best_fit(left, plan)
     return plan
 
