@@ -28,12 +28,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .jaccard import parts_for
 from .limits import small_enough, written
-from .words import grams, slices, word_hashes
+from .words import grams, slices, split, word_hashes
 
 WINDOW = 20
 ANCHOR = 6
 BLOCK = 4096
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 
 _RUN = "doc long, start long, len long, ref_doc long, ref_start long"
 _NO_ID = -(1 << 63)
@@ -69,8 +69,11 @@ def _sliding_least(values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _entries(window: int, bits: int):
-    """(doc, text) -> blobs by part, and runs already settled inside a stretch of texts."""
+def _entries(window: int, bits: int, anchor_size: int, by):
+    """(doc, text) -> blobs by part, and runs already settled inside a stretch of texts.
+
+    ``by`` cuts texts into words or other units.
+    """
     fields = pa.schema([("part", pa.int32()), ("anchor", pa.binary()), ("doc", pa.binary()),
                         ("pos", pa.binary()), ("size", pa.binary()), ("tails", pa.binary()), ("runs", pa.binary())])
 
@@ -86,7 +89,7 @@ def _entries(window: int, bits: int):
         row = np.repeat(np.arange(len(sizes)), np.maximum(sizes - window + 1, 0))
         doc, pos = ids[row], at - first[row]
         whole = grams(hashes, window)[at]
-        least = _sliding_least(grams(hashes, ANCHOR), window - ANCHOR + 1)[at]
+        least = _sliding_least(grams(hashes, anchor_size), window - anchor_size + 1)[at]
         order = np.argsort(whole, kind="stable")
         known = whole[order]
         heads = np.flatnonzero(np.r_[True, known[1:] != known[:-1]])
@@ -125,7 +128,7 @@ def _entries(window: int, bits: int):
         held, size = [], 0
         for batch in batches:
             ids = batch.column(0)
-            for lo, hi, words in slices(batch.column(1)):
+            for lo, hi, words in slices(batch.column(1), by=by):
                 hashes = word_hashes(words)
                 for k in range(lo, hi):
                     a, b = words.first[k - lo], words.first[k - lo + 1]
@@ -193,10 +196,10 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in last], names)
 
 
-def candidate_runs(docs: DataFrame, window: int) -> DataFrame:
+def candidate_runs(docs: DataFrame, window: int, anchor_size: int = ANCHOR, by=split) -> DataFrame:
     """Runs of windows of (``doc``, ``text``) with an earlier place of the same fingerprint."""
     bits = parts_for(docs, "text", FLUSH).bit_length() - 1
-    blobs = docs.mapInArrow(_entries(window, bits), "part int, anchor binary, doc binary, pos binary, "
+    blobs = docs.mapInArrow(_entries(window, bits, anchor_size, by), "part int, anchor binary, doc binary, pos binary, "
                                                     "size binary, tails binary, runs binary")
     runs = written(blobs.groupBy("part").applyInArrow(_resolve, _RUN), "runs")
     merged = runs.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(_merged, _RUN)

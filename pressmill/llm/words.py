@@ -7,7 +7,7 @@ are taken in slices of about a megabyte, so memory does not depend on the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -95,7 +95,19 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets), offsets)
 
 
-def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, Words]]:
+def split_lines(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Lines without the blanks around them, in place of words; blank lines are none."""
+    solid = np.flatnonzero(~_BLANK[data])
+    border = np.zeros(len(data) + 1, np.int64)
+    border[np.flatnonzero(data == 0x0A) + 1] = 1
+    border[offsets] = 1
+    line = np.cumsum(border)[solid]
+    heads = np.flatnonzero(np.r_[True, line[1:] != line[:-1]]) if len(solid) else np.zeros(0, np.int64)
+    starts, ends = solid[heads], solid[np.r_[heads[1:], len(solid)] - 1] + 1 if len(solid) else solid
+    return Words(data, starts, ends, np.searchsorted(starts, offsets), offsets)
+
+
+def slices(texts: pa.Array, most: int = SLICE, by: Callable = split) -> Iterator[tuple[int, int, Words]]:
     """``(from, to, words)`` for ranges of rows of about ``most`` bytes; a row stays whole."""
     data, offsets = flat(texts)
     lo, n = 0, len(texts)
@@ -103,7 +115,7 @@ def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, Words
         hi = int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1
         hi = min(max(hi, lo + 1), n)
         own = offsets[lo : hi + 1]
-        yield lo, hi, split(data[own[0] : own[-1]], own - own[0])
+        yield lo, hi, by(data[own[0] : own[-1]], own - own[0])
         lo = hi
 
 
