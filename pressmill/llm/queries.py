@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .chat import chat_format
+from .decontamination import benchmark_decontamination
+from .embeddings import embedding_near_dedup
 from .jaccard import ngram_jaccard
+from .lines import line_dedup
 from .packing import best_fit_packing
 from .secrets import secret_scan
 from .substrings import substring_dedup
@@ -16,7 +21,11 @@ QUERIES = {
     "op3_chat_format": chat_format,
     "op4_toxicity": toxicity,
     "op5_secret_scan": secret_scan,
+    "op6_benchmark_decontamination": benchmark_decontamination,
     "op7_best_fit_packing": best_fit_packing,
+    "op8_embedding_near_dedup": embedding_near_dedup,
+    "op9_line_dedup": line_dedup,
     "op10_url_filter": url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}
