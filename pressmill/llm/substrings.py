@@ -157,7 +157,7 @@ def _resolve(batch: pa.Table) -> pa.Table:
     order = np.argsort(key)
     known = key[order]
     same = known[1:] == known[:-1]
-    several = order[np.r_[same, False] | np.r_[False, same]]
+    several = order[np.r_[same, False] | np.r_[False, same]] if len(key) else order
     owner = np.repeat(np.arange(len(size)), size)[several]
     inside = several - (np.cumsum(size) - size)[owner]
     doc, pos, key = doc[owner], pos[owner] + inside, key[several]
