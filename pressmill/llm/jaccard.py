@@ -18,9 +18,9 @@ linked documents share a signature. The number of groups follows the size of the
 document; each document emits the signatures for every number a partner may use (at most two).
 
 Steps: (1) count every token over all documents; (2) emit signatures; tokens of one document
-only count for the prefix but are not emitted; (3) compare all members of a signature with its
-smallest member, and contract links to components; (4) compare whatever pairs of a signature
-are in different components still. Before sets are compared, sizes and 256 parity bits a class
+only count for the prefix but are not emitted; (3) ``STARS`` times, compare all members of a signature with one
+of them, the one with the most links so far, and contract links to components; (4) compare
+whatever pairs of a signature are in different components still. Before sets are compared, sizes and 512 parity bits a class
 rule out pairs that differ in too many tokens. Pairs inside one component cannot change the result, so a
 group of near copies costs its members, not their pairs.
 
@@ -44,7 +44,8 @@ from .words import mix, shingles, slices, word_hashes
 
 FLAG_BITS = 27
 FREQUENT = 2
-PARITIES = 4
+PARITIES = 8
+STARS = 1
 FLUSH = 1 << 20
 PER_PART = 1 << 22
 
@@ -132,7 +133,8 @@ def token_flags(docs: DataFrame, text: str, n: int, lower: bool, frequent: int,
 
 
 def _groups(slack: int) -> int:
-    return 1 << max(0, (slack // 4).bit_length() - 1)
+    """About one group for each token that may be missing: small groups have few pairs."""
+    return 1 << max(0, slack.bit_length() - 1)
 
 
 def prefix_signatures(tokens, repeated, frequent, num: int, den: int) -> np.ndarray:
@@ -258,6 +260,13 @@ def _links(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, lower:
     return written(both.select("a", "b", "x", "y").mapInArrow(_verified(num, den), "a long, b long"), "links", 128)
 
 
+def _mixed(entries: DataFrame) -> DataFrame:
+    """The entries of signatures with more than one component."""
+    entries = written(entries, "entries")
+    several = entries.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    return written(entries.join(several.select("sig"), "sig", "left_semi"), "mixed")
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -292,28 +301,30 @@ def jaccard_components(
         signed.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls").distinct(),
         "signatures",
     )
-    leaders = entries.groupBy("sig").agg(F.min("cls").alias("lead"), F.max("cls").alias("most")).where("lead < most")
-    shared = entries.join(leaders.select("sig", "lead"), "sig")
-    shared = written(shared.select("sig", "cls", "lead"), "shared")
     other = {p: f"q{p}" for p in _PARITY}
     bound = _may_link("n", "m", [*other], [*other.values()], num, den)
     known = signed.where("sigs is not null").groupBy("cls").agg(
         F.first("n").alias("n"), *[F.first(p).alias(p) for p in _PARITY])
     known = written(known, "known")
     its = known.select(F.col("cls").alias("lead"), F.col("n").alias("m"), *[F.col(p).alias(q) for p, q in other.items()])
-    first = (
-        shared.where("cls <> lead").select("cls", "lead").distinct().join(known, "cls").join(its, "lead")
-        .where(bound).select(F.col("cls").alias("a"), F.col("lead").alias("b"))
-    )
     owners = written(
         signed.where("cls is not null").groupBy("cls").agg(F.min("doc").alias("least")), "owners")
-    links = _links(first, docs, owners, n, lower, num, den)
-    found = components(links)
-    placed = shared.join(found.select(F.col("id").alias("cls"), "component"), "cls", "left").select(
-        "sig", "cls", F.coalesce("component", "cls").alias("component"))
-    placed = written(placed, "placed")
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    left = written(placed.join(mixed.select("sig"), "sig", "left_semi").join(known, "cls"), "open")
+    # Entries of signatures whose classes are not all in one component yet.
+    open_ = _mixed(entries.select("sig", "cls", F.col("cls").alias("component"), F.lit(0).cast("long").alias("degree")))
+    links, found = None, None
+    for _ in range(STARS):
+        leads = open_.groupBy("sig").agg(F.max(F.struct("degree", "cls", "component")).alias("lead"))
+        met = open_.join(leads, "sig").where("component <> lead.component").select("cls", F.col("lead.cls").alias("lead"))
+        pairs = met.distinct().join(known, "cls").join(its, "lead").where(bound).select(
+            F.col("cls").alias("a"), F.col("lead").alias("b"))
+        new = _links(pairs, docs, owners, n, lower, num, den)
+        links = new if links is None else links.union(new)
+        found = components(links)
+        degrees = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(F.count("*").alias("degree"))
+        open_ = _mixed(
+            open_.select("sig", "cls").join(found.withColumnRenamed("id", "cls"), "cls", "left").join(degrees, "cls", "left")
+            .select("sig", "cls", F.coalesce("component", "cls").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")))
+    left = written(open_.join(known, "cls").select("sig", "cls", "component", "n", *_PARITY), "open")
     right = left.select("sig", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
                         *[F.col(p).alias(q) for p, q in other.items()])
     rest = (
