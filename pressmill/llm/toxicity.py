@@ -36,6 +36,7 @@ PER_CLASS = 2000
 LANDMARKS = 200
 ROUNDS = 5
 
+_PART = 20_000  # words scored at a time while fitting
 _BITS = 6
 _TABLE = 1 << 3 * _BITS
 # Letters a-z have codes of their own; bytes of other letters share the rest.
@@ -157,23 +158,22 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
         share = share if share is not None else float(y.mean()) if len(y) else 0.0
         share = min(max(share, 1e-3), 0.499)
         return Model(np.zeros(_TABLE, np.float32), 1.0, float(np.log(share / (1 - share))))
-    bags: list[list[bytes]] = []
+    number: dict[bytes, int] = {}
+    inside: list[np.ndarray] = []  # numbers of the distinct words of each text
     for _, _, words in letters(pa.array(texts, pa.string())):
         own = words.data.tobytes()
         for a, b in zip(words.first[:-1], words.first[1:]):
-            bags.append(sorted({own[s:e] for s, e in zip(words.starts[a:b].tolist(), words.ends[a:b].tolist())}))
-    seen = [Counter(w for bag, t in zip(bags, y) if t == label for w in bag) for label in (0, 1)]
+            strings = {own[s:e] for s, e in zip(words.starts[a:b].tolist(), words.ends[a:b].tolist())}
+            inside.append(np.array([number.setdefault(w, len(number)) for w in sorted(strings)], np.int32))
+    vocabulary = list(number)
+    in_clean, in_toxic = (np.bincount(np.concatenate([w for w, t in zip(inside, y) if t == label]), minlength=len(vocabulary))
+                          for label in (0, 1))
     n0, n1 = int((y == 0).sum()), int((y == 1).sum())
-    odds = {}
-    for word, count in seen[1].items():
-        p, q = (count + 0.1) / (n1 + 1), (seen[0][word] + 0.1) / (n0 + 1)
-        odds[word] = (p - q) / np.sqrt(p * (1 - p) / n1 + q * (1 - q) / n0) if count > 1 else 0.0
-    vocabulary = sorted(seen[0].keys() | seen[1].keys())
-    number = {w: i for i, w in enumerate(vocabulary)}
-    rank = np.array([odds.get(w, 0.0) for w in vocabulary])
-    likely = sorted(odds, key=lambda w: (-odds[w], w))[: LANDMARKS * 3 // 4]
-    common = sorted(seen[0], key=lambda w: (-seen[0][w], w))[: LANDMARKS // 4]
-    landmarks = sorted(set(likely) | set(common))
+    p, q = (in_toxic + 0.1) / (n1 + 1), (in_clean + 0.1) / (n0 + 1)
+    rank = np.where(in_toxic > 1, (p - q) / np.sqrt(p * (1 - p) / n1 + q * (1 - q) / n0), 0.0)
+    likely = np.argsort(-rank, kind="stable")[: LANDMARKS * 3 // 4]
+    common = np.argsort(-in_clean, kind="stable")
+    landmarks = sorted({vocabulary[i] for i in [*likely, *common[: LANDMARKS // 4]]})
     codes, basis = images(landmarks)
     value, vector = np.linalg.eigh(basis @ basis.T)
     good = value > 1e-6 * value.max()
@@ -186,13 +186,14 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
         shared = at[found] >= 0
         return image[:, shared] @ basis[:, at[found[shared]]].T @ whiten
 
-    inside = [np.array([number[w] for w in bag], int) for bag in bags]
-    everything = words_of(vocabulary)
+    def scores(weights: np.ndarray) -> np.ndarray:
+        return np.concatenate([decisions(words_of(vocabulary[k : k + _PART]), weights) for k in range(0, len(vocabulary), _PART)])
+
     rng = np.random.default_rng(0)
     # Clean words, common and random; the worst of clean documents join them round by round.
-    clean = np.array([number[w] for w in seen[0]])
+    clean = np.flatnonzero(in_clean)
     negative = Counter(rng.choice(clean, min(2000, len(clean)), replace=False).tolist())
-    negative.update({number[w]: seen[0][w] for w in sorted(seen[0], key=lambda w: (-seen[0][w], w))[:1000]})
+    negative.update({int(i): int(in_clean[i]) for i in common[:1000] if in_clean[i]})
     score, least, weights, w = rank, 3.0, np.zeros(_TABLE, np.float32), np.zeros(1)
     for _ in range(ROUNDS):
         worst = [bag[np.argsort(-score[bag], kind="stable")[:3]] if len(bag) else bag for bag in inside]
@@ -204,11 +205,11 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
         bent = [_with_letter(vocabulary[i], rng) for i in positive]
         chosen = [vocabulary[i] for i in positive] + bent + [vocabulary[i] for i in negative]
         times = np.array([*positive.values(), *positive.values(), *negative.values()], float)
-        x = np.concatenate([features(chosen[k : k + 500]) for k in range(0, len(chosen), 500)])
+        x = np.concatenate([features(chosen[k : k + 50]) for k in range(0, len(chosen), 50)])
         w = svm(x, np.repeat([1.0, -1.0], [2 * len(positive), len(negative)]), times)
         weights = np.zeros(_TABLE, np.float32)
         weights[codes] = basis.T @ (whiten @ w[:-1])
-        score, least = decisions(everything, weights) + w[-1], 0.0
+        score, least = scores(weights) + w[-1], 0.0
     bias = w[-1]
     most = np.array([score[bag].max() if len(bag) else -1.0 + bias for bag in inside])
     # Half-way between the share of toxic rows and classes of equal weight.
