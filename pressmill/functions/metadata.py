@@ -54,8 +54,9 @@ def with_title(title: Column, text: Column) -> Column:
 
 
 def as_int(value: Column) -> Column:
-    """Integer of a CSV cell; ``2005.0`` counts, anything else unreadable is null."""
-    return value.try_cast("double").try_cast("int")
+    """Integer of a CSV cell; ``2005.0`` counts, fractions and anything unreadable are null."""
+    number = value.try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
 
 def ai_era(label: Column, year: Column) -> Column:

@@ -56,7 +56,10 @@ class Order:
         """Rows per hash prefix for each class (a job; the result is of fixed size)."""
         counts = df.groupBy("label", self.prefix.alias("prefix")).count()
         found: dict[int, list[tuple[str, int]]] = {}
-        for label, prefix, n in sorted(counts.collect()):
+        rows = counts.collect()
+        if any(row["label"] is None for row in rows):
+            raise ValueError("rows without a label cannot be dealt into classes; drop them first")
+        for label, prefix, n in sorted(rows):
             found.setdefault(label, []).append((prefix, n))
         return found
 

@@ -22,7 +22,7 @@ from ..session import written
 
 RUNS = 5
 REGULARIZATION = (0.01, 0.1)
-FEATURES = 1 << 16
+FEATURES = 1 << 18
 
 
 @dataclass(frozen=True)
