@@ -5,9 +5,9 @@ spans ``s`` letters counts ``DECAY ** s``, spans go up to ``SPAN``. Letters put
 of an insult lower the similarity a little and do not break it. Signs and digits inside a word
 are dropped, and single letters that stand apart are read as one word.
 
-A sentence is as toxic as its worst word, a document as its worst sentence. Labels belong to
-documents, so training looks for witnesses: in every toxic document the worst word of its
-worst sentence so far is a positive example, the worst words of clean documents are negative
+A document is judged by its ``WORST`` worst words, repeated ones included: one word that looks
+like an insult by chance weighs less than several. Labels belong to documents, so training
+looks for witnesses: in every toxic document its worst words so far are positive examples, the worst words of clean documents are negative
 ones, and fit and choice alternate. Positive words also come with a letter put in. The machine is linear in Nyström features over landmark
 words, so its decision is a sum of kernels with landmarks, which folds into one weight per
 triple: scoring is a table look-up with a table of fixed size.
@@ -35,6 +35,8 @@ DECAY = 0.75
 PER_CLASS = 2000
 LANDMARKS = 200
 ROUNDS = 5
+WORST = 3
+RIDGE = 1e-4
 
 _PART = 20_000  # words scored at a time while fitting
 _BITS = 6
@@ -48,10 +50,10 @@ _OFFSETS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 
 class Model(NamedTuple):
-    """Weights of triples, and the slope and place of the logistic scale of decisions."""
+    """Weights of triples, and slopes and place of the logistic scale of a text's worst decisions."""
 
     weights: np.ndarray
-    slope: float
+    slopes: np.ndarray
     bias: float
 
 
@@ -105,6 +107,20 @@ def decisions(words: Words, weights: np.ndarray) -> np.ndarray:
     return out / norms(words)
 
 
+def worst(decided: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The ``WORST`` largest decisions of every text, largest first; a missing word counts -1.
+
+    Text ``t`` has the decisions ``first[t]`` to ``first[t + 1]``.
+    """
+    count = np.diff(first)
+    order = np.lexsort((-decided, np.repeat(np.arange(len(count)), count)))
+    out = np.full((len(count), WORST), -1.0)
+    for k in range(WORST):
+        long = np.flatnonzero(count > k)
+        out[long, k] = decided[order[first[long] + k]]
+    return out
+
+
 def words_of(strings: list[bytes]) -> Words:
     data = np.frombuffer(b" ".join(strings), np.uint8)
     ends = np.cumsum([len(s) + 1 for s in strings]) - 1
@@ -157,14 +173,16 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
     if not len(y) or y.min() == y.max():  # no two classes
         share = share if share is not None else float(y.mean()) if len(y) else 0.0
         share = min(max(share, 1e-3), 0.499)
-        return Model(np.zeros(_TABLE, np.float32), 1.0, float(np.log(share / (1 - share))))
+        return Model(np.zeros(_TABLE, np.float32), np.eye(1, WORST)[0], float(np.log(share / (1 - share))))
     number: dict[bytes, int] = {}
     inside: list[np.ndarray] = []  # numbers of the distinct words of each text
+    often: list[np.ndarray] = []  # how often each occurs there, up to WORST times
     for _, _, words in letters(pa.array(texts, pa.string())):
         own = words.data.tobytes()
         for a, b in zip(words.first[:-1], words.first[1:]):
-            strings = {own[s:e] for s, e in zip(words.starts[a:b].tolist(), words.ends[a:b].tolist())}
+            strings = Counter(own[s:e] for s, e in zip(words.starts[a:b].tolist(), words.ends[a:b].tolist()))
             inside.append(np.array([number.setdefault(w, len(number)) for w in sorted(strings)], np.int32))
+            often.append(np.array([min(strings[w], WORST) for w in sorted(strings)], np.int8))
     vocabulary = list(number)
     in_clean, in_toxic = (np.bincount(np.concatenate([w for w, t in zip(inside, y) if t == label]), minlength=len(vocabulary))
                           for label in (0, 1))
@@ -196,10 +214,10 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
     negative.update({int(i): int(in_clean[i]) for i in common[:1000] if in_clean[i]})
     score, least, weights, w = rank, 3.0, np.zeros(_TABLE, np.float32), np.zeros(1)
     for _ in range(ROUNDS):
-        worst = [bag[np.argsort(-score[bag], kind="stable")[:3]] if len(bag) else bag for bag in inside]
-        positive = Counter(int(i) for own, t in zip(worst, y) if t == 1 for k, i in enumerate(own)
+        leading = [bag[np.argsort(-score[bag], kind="stable")[:3]] if len(bag) else bag for bag in inside]
+        positive = Counter(int(i) for own, t in zip(leading, y) if t == 1 for k, i in enumerate(own)
                            if k == 0 or score[i] > least)
-        negative.update(int(i) for own, t in zip(worst, y) if t == 0 for i in own)
+        negative.update(int(i) for own, t in zip(leading, y) if t == 0 for i in own)
         if not positive or not negative:
             break
         bent = [_with_letter(vocabulary[i], rng) for i in positive]
@@ -210,42 +228,43 @@ def fit(texts: list[str], toxic: list[int], share: float | None = None) -> Model
         weights = np.zeros(_TABLE, np.float32)
         weights[codes] = basis.T @ (whiten @ w[:-1])
         score, least = scores(weights) + w[-1], 0.0
-    bias = w[-1]
-    most = np.array([score[bag].max() if len(bag) else -1.0 + bias for bag in inside])
+    most = np.concatenate([worst(np.repeat(score[bag] - w[-1], times), np.array([0, times.sum(dtype=int)]))
+                           for bag, times in zip(inside, often)])
     # Half-way between the share of toxic rows and classes of equal weight.
-    slope, place = _logistic(most, y, ((float(y.mean()) if share is None else share) + 0.5) / 2)
-    return Model(weights, slope, slope * bias + place)
+    slopes, place = _logistic(most, y, ((float(y.mean()) if share is None else share) + 0.5) / 2)
+    return Model(weights, slopes, place)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
-    """Slope and bias with classes weighted by their share; targets are pulled in a little."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[np.ndarray, float]:
+    """Slopes and bias with classes weighted by their share; targets are pulled in a little."""
     n1, n0 = (y == 1).sum(), (y == 0).sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     weight = np.where(y == 1, share / n1, (1 - share) / n0)
-    a, rows = np.zeros(2), np.c_[x, np.ones(len(x))]
-    for _ in range(50):
+    rows = np.c_[x, np.ones(len(x))]
+    a, ridge = np.zeros(rows.shape[1]), np.diag(np.r_[np.full(x.shape[1], RIDGE), 1e-6])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-rows @ a))
-        slope = rows.T @ (weight * (p - target)) + 1e-6 * a
-        curve = (rows * (weight * p * (1 - p))[:, None]).T @ rows + 1e-6 * np.eye(2)
-        step = np.linalg.solve(curve, slope)
+        slope = rows.T @ (weight * (p - target)) + ridge @ a
+        step = np.linalg.solve((rows.T * (weight * p * (1 - p))) @ rows + ridge, slope)
         a -= step * min(1.0, 5 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-8:
             break
-    return float(max(a[0], 1e-3)), float(a[1])
+    if a[:-1].min() < 0 and x.shape[1] > 1:  # a worse word must not make a text better: fit without it
+        slopes, keep = np.zeros(x.shape[1]), np.flatnonzero(a[:-1] > a[:-1].min())
+        slopes[keep], bias = _logistic(x[:, keep], y, share)
+        return slopes, bias
+    return np.maximum(a[:-1], 1e-3), float(a[-1])
 
 
 def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, slope, bias = model.value
+        weights, slopes, bias = model.value
         for batch in batches:
             others = [i for i, f in enumerate(batch.schema) if f.name != "scored_text"]
             scores = []
             for _, _, words in letters(batch.column("scored_text")):
-                filled = np.flatnonzero(words.counts)
-                most = np.full(len(words.first) - 1, -1.0)
-                if len(filled):
-                    most[filled] = np.maximum.reduceat(decisions(words, weights), words.first[:-1][filled])
-                scores.append(1 / (1 + np.exp(-np.clip(slope * most + bias, -50, 50))))
+                most = worst(decisions(words, weights), words.first)
+                scores.append(1 / (1 + np.exp(-np.clip(most @ slopes + bias, -50, 50))))
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in others] + [pa.array(scores, pa.float64())],
