@@ -253,6 +253,12 @@ def load_dumps(
     return corpus_rows(read_articles(spark, paths, **options), label, include_title)
 
 
+def _has_folders(spark: SparkSession, base: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(path) and any(entry.isDirectory() for entry in files.listStatus(path))
+
+
 def load_categories(
     spark: SparkSession,
     base: str,
@@ -266,7 +272,7 @@ def load_categories(
     """Corpus rows of a folder with one subfolder per category.
 
     Only files directly in a subfolder count. With ``fallback``, a base folder
-    without such files is a category itself. ``exclude=None`` leaves out the default
+    without any subfolder is a category itself. ``exclude=None`` leaves out the default
     categories, an empty set none. Excluded folders are never opened: the category
     comes from file metadata, which Spark evaluates when it lists the files.
     """
@@ -278,7 +284,7 @@ def load_categories(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         blocks = None
-        if fallback:
+        if fallback and not _has_folders(spark, base):
             try:
                 blocks = read_blocks(spark, f"{base}/*.txt", **options)
             except AnalysisException as inner:

@@ -70,13 +70,23 @@ def _literal_path(path: str) -> str:
 
 
 def _cells(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    """All rows of files with one header, as strings, with their file and order in it."""
-    names = [f"`{name.replace('`', '``')}` string" for name in header]
+    """All rows of files with one header, as strings, with their file and order in it.
+
+    A row with too few cells is filled up with nulls. One more cell than the header has is
+    asked for, so that a row with too many is seen; it raises.
+    """
+    surplus = max(["surplus", *(name + "_" for name in header)], key=len)
+    names = [f"`{name.replace('`', '``')}` string" for name in (*header, surplus)]
     scan = (
         spark.read.options(**CSV_FORMAT)
         .schema(", ".join(names))
-        .csv([_literal_path(p) for p in paths], multiLine=True, mode="FAILFAST")
+        .csv([_literal_path(p) for p in paths], multiLine=True, mode="PERMISSIVE")
+    )
+    too_long = F.concat(F.lit("more cells than columns in "), F.col("_metadata.file_path"))
+    fits = F.when(F.col(f"`{surplus.replace('`', '``')}`").isNull(), True).otherwise(
+        F.raise_error(too_long).cast("boolean")
     )
+    scan = scan.where(fits)
 
     def cell(name: str) -> Column:
         value = F.col(f"`{name}`")

@@ -191,6 +191,14 @@ def test_category_fallback_to_the_base_folder(spark, folder):
         load_categories(spark, base, fallback=False)
 
 
+def test_no_fallback_beside_subfolders(spark, folder):
+    put(folder, "arhiva/a.txt", "<***>\nDATUM: 2001\n\ntekst")
+    base = os.path.join(folder, "arhiva")
+    os.makedirs(os.path.join(base, "prazno"))
+    with pytest.raises(FileNotFoundError):
+        load_categories(spark, base)
+
+
 def test_categories_without_articles(spark, folder):
     put(folder, "a/a.txt", "<***>\nNASLOV: samo zaglavlje")
     put(folder, "Karikature i stripovi/a.txt", "tekst")

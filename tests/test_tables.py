@@ -41,6 +41,15 @@ def test_csv_null_words(spark, folder):
     assert got == [(None, 0), (None, None), (None, 1), ("N/a", None)]
 
 
+def test_short_csv_rows_are_filled_and_long_ones_raise(spark, folder):
+    put_csv(folder, "a.csv", ["text", "label", "source"], ["abc", "1"], ["d", "0", "x"], ["e"], ["f", "0.7", "y"])
+    got = tables.read_csv(spark, f"{folder}/a.csv").select("text", "label", "source").collect()
+    assert sorted(map(tuple, got)) == [("abc", 1, None), ("d", 0, "x"), ("e", None, None), ("f", None, "y")]
+    put_csv(folder, "b.csv", ["text", "label", "source"], ["abc", "1", "x", "more"])
+    with pytest.raises(Exception, match="more cells than columns"):
+        tables.read_csv(spark, f"{folder}/b.csv").count()
+
+
 def test_csv_files_are_joined_by_name(spark, folder):
     put_csv(folder, "a.csv", ["text", "label"], ["x", "0"])
     put_csv(folder, "b.csv", ["label", "text", "extra col"], ["1", "y", "z"])
