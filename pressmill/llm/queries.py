@@ -9,7 +9,10 @@ from .decontamination import benchmark_decontamination
 from .embeddings import embedding_near_dedup
 from .jaccard import ngram_jaccard
 from .lines import line_dedup
+from .merkle import MERKLE_SQL, merkle_manifest
 from .packing import best_fit_packing
+from .phrases import PHRASES_SQL, phrase_mining
+from .quality import quality_classifier
 from .secrets import secret_scan
 from .substrings import substring_dedup
 from .toxicity import toxicity
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_embedding_near_dedup": embedding_near_dedup,
     "op9_line_dedup": line_dedup,
     "op10_url_filter": url_filter,
+    "op11_quality_classifier": quality_classifier,
+    "op12_phrase_collocation_mining": phrase_mining,
+    "op13_merkle_manifest": merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_phrase_collocation_mining": PHRASES_SQL, "op13_merkle_manifest": MERKLE_SQL}
