@@ -13,13 +13,14 @@ and ``FIT_BYTES`` bytes of text, in one task: gradients reach only the byte stri
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .limits import written
+from .limits import small_enough, written
 from .words import flat
 
 WIDTH = 8  # bytes under a filter; even, as two are looked up at a time
@@ -205,28 +206,32 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                 label_col: str = "quality", per_class: int = PER_CLASS, most_bytes: int = FIT_BYTES) -> Model:
     """The network for labelled documents.
 
-    The sample is drawn by a hash of the text, at a rate that gives about ``per_class`` rows of each
-    class and half of ``most_bytes`` bytes (a text above a sixteenth of ``most_bytes`` is not
-    drawn, which bounds the sample). Rows without id or label are left out; the smallest of
-    several labels of one id counts. Tables without labelled rows give a network that answers
-    one half. Only ``id_col``, ``text_col`` and ``label_col`` are read.
+    About ``per_class`` ids of each class are drawn by a hash, on the labels alone; only their texts are
+    looked up. If these have more than ``most_bytes`` bytes, as many are drawn again as fit (a text above
+    a sixteenth of that is not drawn, which bounds the sample). Rows without id or label are left out;
+    the smallest of several labels of one id counts, and the smallest of several texts. Tables
+    without labelled rows give a network that answers one half. Only ``id_col``, ``text_col`` and
+    ``label_col`` are read.
     """
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("id is not null and label in (0, 1)").groupBy("id").agg(F.min("label").alias("label"))
+    known = written(known, "quality-labels")
+    found = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    share = found.get(1, 0) / sum(found.values()) if found else 0.5
+
+    def drawn(seed: int, rates: dict[int, float]) -> Column:
+        draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30))
+        limits = [(F.col("label") == label) & (draw < int(rate * (1 << 30))) for label, rate in rates.items()]
+        return reduce(lambda a, b: a | b, limits, F.lit(False))
+
+    ids = known.where(drawn(11, {label: min(1.0, per_class / n) for label, n in found.items()}))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    draw = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30))
-    rows = texts.join(known, "id").select("text", "label", draw.alias("draw"))
-    size = F.octet_length("text")
-    found = {r["label"]: r for r in rows.groupBy("label").agg(
-        F.count("*").alias("n"), F.sum(F.when(size <= most_bytes // 16, size)).alias("bytes")).collect()}
-    total = sum(r["n"] for r in found.values())
-    share = found[1]["n"] / total if 1 in found else 0.5 * (total == 0)
-    drawn = F.lit(False)
-    for label, r in found.items():
-        rate = min(1.0, per_class / r["n"], most_bytes / 2 / max(r["bytes"] or 0, 1))
-        drawn |= (F.col("label") == label) & (F.col("draw") < int(rate * (1 << 30)))
-    sample = written(rows.where((size <= most_bytes // 16) & drawn), "quality-sample")
-    model = sample.coalesce(1).mapInArrow(_fitting(share), "parts array<binary>").first()
+    texts = texts.where(F.octet_length("text") <= most_bytes // 16).join(small_enough(written(ids, "quality-ids")), "id")
+    sample = written(texts.groupBy("id", "label").agg(F.min("text").alias("text")), "quality-sample")
+    sizes = sample.groupBy("label").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    sample = sample.where(drawn(12, {r["label"]: min(1.0, most_bytes / 2 / max(r["n"], 1)) for r in sizes}))
+    rows = sample.select(F.xxhash64("id").alias("draw"), "text", "label")
+    model = rows.coalesce(1).mapInArrow(_fitting(share), "parts array<binary>").first()
     return _unpacked([bytes(p) for p in model["parts"]])
 
 
