@@ -30,7 +30,8 @@ LEAST = 10
 LONGEST = 3
 TOP = 2000
 COVER = 50  # percent of a phrase's occurrences that a longer one must hold to replace it
-PART_BYTES = 8 << 20  # text that a task looks at together
+PART_BYTES = 3 << 20  # text that a task looks at together
+BATCH_ROWS = 20_000  # windows that go back at a time
 BLOCK_BITS = 20  # buckets of one block of the table
 MOST_BITS = 30  # 128 MB of one bit each is the most that is sent to every worker
 _FULL = 4095
@@ -62,8 +63,9 @@ def tokens(texts: pa.Array) -> Tokens:
     begins = solid.copy()
     begins[1:] &= ~solid[:-1] | border[1:-1]
     starts = np.flatnonzero(begins)
-    piece = np.cumsum((kind == 2) | border[:-1], dtype=np.int64)[starts]
-    places = np.cumsum(solid, dtype=np.int64)
+    narrow = np.int32 if len(data) < 1 << 31 else np.int64
+    piece = np.cumsum((kind == 2) | border[:-1], dtype=narrow)[starts]
+    places = np.cumsum(solid, dtype=narrow)
     ends = np.r_[places[starts] - 1, places[-1:] if len(data) else np.zeros(1, np.int64)]
     strings = pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[solid]))
@@ -178,8 +180,10 @@ def _windows(sent, longest: int):
             _, first, count = np.unique(group, return_index=True, return_counts=True)
             words = [t.names.take(pa.array(c[first], pa.int64(), mask=c[first] < 0)).cast(pa.string()) for c in columns]
             lang = langs.take(pa.array(t.row[first])).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [lang, *words, pa.array(count, pa.int64())], ["lang", *(f"w{k + 1}" for k in range(longest)), "n"])
+            for lo in range(0, len(out), BATCH_ROWS):
+                yield out.slice(lo, BATCH_ROWS)
 
     return run
 
