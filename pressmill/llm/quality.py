@@ -232,7 +232,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     sample = sample.where(drawn(12, {r["label"]: min(1.0, most_bytes / 2 / max(r["n"], 1)) for r in sizes}))
     rows = sample.select(F.xxhash64("id").alias("draw"), "text", "label")
     model = rows.coalesce(1).mapInArrow(_fitting(share), "parts array<binary>").first()
-    return _unpacked([bytes(p) for p in model["parts"]])
+    return _unpacked([bytes(p) for p in model["parts"]]) if model else fit([], [], share)
 
 
 def _scored(model):
