@@ -17,6 +17,7 @@ fewer windows are padded early, and nothing else changes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -192,7 +193,7 @@ def phrase_counts(texts: DataFrame, least: int = LEAST, longest: int = LONGEST)
     """``(lang, words, f)`` of all phrases of up to ``longest`` words that occur ``least`` times.
 
     ``texts`` has ``text`` and ``lang``. The row of a language without words in it (an empty array)
-    has the number of all its words. Stored.
+    has the number of all its words, if that is ``least`` or more. Stored.
     """
     texts = texts.select(F.coalesce(F.col("text"), F.lit("")).alias("text"),
                          F.coalesce(F.col("lang"), F.lit("und")).alias("lang"))
@@ -201,15 +202,14 @@ def phrase_counts(texts: DataFrame, least: int = LEAST, longest: int = LONGEST)
     kinds = ", ".join(f"{c} string" for c in ("lang", *names))
     windows = texts.mapInArrow(_windows(sent, longest), f"{kinds}, n long")
     summed = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
-    # Level k has summed over all columns behind the k-th; the k-th is null where padding was counted.
+    # Level k has summed over all columns behind the k-th; where the k-th is null, padding was counted, which
+    # says nothing. This condition is on the grouping alone, so Spark drops such rows before it counts.
     levels = [(F.col("g") == (1 << (longest - k)) - 1) & (F.col(f"w{k}").isNotNull() if k else F.lit(True))
               for k in range(longest + 1)]
-    kept = F.lit(False)
-    for k, level in enumerate(levels):
-        kept |= level & (F.col("f") >= (least if k else 0))
+    summed = summed.where(reduce(lambda a, b: a | b, levels))
     # Columns that were summed over are null, and so is padding; neither is part of a phrase.
     words = F.array_compact(F.array(*names))
-    counts = written(summed.where(kept).select("lang", words.alias("words"), "f"), "phrase-counts")
+    counts = written(summed.where(F.col("f") >= least).select("lang", words.alias("words"), "f"), "phrase-counts")
     sent.destroy()
     return counts
 
