@@ -18,22 +18,22 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-
 from .limits import written
-from .words import slices
+from .words import SLICE, Words, slices, word_hashes
 
 SIZE = 2048
 CLASSES = 256
 VOCABULARY = "word_bpe_49k.json"
 END = 0
-HELD_WORDS = 1_000_000
+HELD_WORDS = 2_000_000
+_SIGN = np.isin(np.arange(256), list(b".,;:!?"))
 
 _PIECE = "id long, piece int, start long, length long, ids_crc32 long, token_ids binary, shard int, rank long"
 
@@ -50,34 +50,83 @@ def tokenizer(vocabulary: str):
     return Tokenizer.from_file(public_tokenizers.path(vocabulary))
 
 
-class WordIds(dict):
-    """Words and their ids as bytes of unsigned 32-bit numbers, looked up once a process.
+def stems(words: Words) -> tuple[Words, np.ndarray]:
+    """Words with a sign behind an ASCII letter at the end as two, and which may be lower-cased.
 
-    The tokenizer drops white space and never joins across it, so a text has the ids of its
-    words, one after the other. It also drops case, and a single sign behind a letter stands
-    for itself. Long words are not kept, and a full table starts anew.
+    The tokenizer drops case, and such a sign stands for itself there. Only words in ASCII are
+    lower-cased here, and a word in which a reserved string may stand is left as it is.
     """
+    data, starts, ends = words.data, words.starts, words.ends
+    if not len(starts):
+        return words, np.zeros(0, bool)
+
+    def holds(marked: np.ndarray) -> np.ndarray:
+        total = np.r_[0, np.cumsum(marked, dtype=np.int32)]
+        return total[ends] > total[starts]
+
+    reserved = holds((data == ord("<")) & (np.r_[data[1:], 0] == ord("|")))
+    letter = ((data | 0x20) >= ord("a")) & ((data | 0x20) <= ord("z"))
+    signed = _SIGN[data[ends - 1]] & letter[ends - 2] & (ends - starts > 1) & ~reserved
+    times = 1 + signed
+    second = np.cumsum(times)[signed] - 1
+    new_starts, new_ends = starts.repeat(times), ends.repeat(times)
+    new_starts[second] = ends[signed] - 1
+    new_ends[second - 1] -= 1
+    first = np.r_[0, np.cumsum(times)][words.first]
+    plain = (~reserved & ~holds(data >= 0x80)).repeat(times)
+    return Words(data, new_starts, new_ends, first, words.offsets), plain
+
+
+class WordIds:
+    """Words, by their hashes, and their ids, looked up once a process.
 
-    def __init__(self, vocabulary: str):
-        super().__init__()
-        self.coder = tokenizer(vocabulary)
-
-    def __missing__(self, word: bytes) -> bytes:
-        small = word.lower()  # A-Z only
-        if small != word:
-            ids = self[small]
-        elif len(word) > 1 and word[-1:] in b".,;:!?" and word[:-1].decode()[-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            ids = np.array(self.coder.encode(word.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+    The tokenizer drops white space and never joins across it, so a text has the ids of its
+    words, one after the other. Only words not met before are given to it, many at a time. A full table starts anew.
+    """
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self) > HELD_WORDS:
-            self.clear()
-        return [b"".join(map(self.__getitem__, t.split())) for t in texts]
+    def __init__(self, vocabulary: str, most: int = HELD_WORDS):
+        self.coder, self.most = tokenizer(vocabulary), most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.many, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Adds words with new, sorted hashes."""
+        lists = [e.ids for e in self.coder.encode_batch(words, add_special_tokens=False)]
+        many = np.fromiter(map(len, lists), np.int64, len(lists))
+        first = len(self.ids) + np.r_[0, np.cumsum(many)[:-1]]
+        at = np.searchsorted(self.hashes, hashes)
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32, many.sum())
+        self.ids = np.concatenate([self.ids, ids])
+        self.hashes, self.first, self.many = (
+            np.insert(old, at, new) for old, new in ((self.hashes, hashes), (self.first, first), (self.many, many)))
+
+    def encode(self, words: Words, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each closed by ``end``, and where each text begins."""
+        words, plain = stems(words)
+        hashes = np.where(plain, word_hashes(words, lower=True), word_hashes(words))
+        distinct, example, word = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) + len(distinct) > self.most:
+            self._clear()
+        at = np.searchsorted(self.hashes, distinct)
+        new = np.flatnonzero(np.append(self.hashes, 0)[at] != distinct) if len(self.hashes) else np.arange(len(distinct))
+        if len(new):
+            data, own = words.data.tobytes(), example[new]
+            strings = [data[s:e].lower() if p else data[s:e]
+                       for s, e, p in zip(words.starts[own].tolist(), words.ends[own].tolist(), plain[own].tolist())]
+            self._learn(distinct[new], [s.decode() for s in strings])
+            at = np.searchsorted(self.hashes, distinct)
+        many = self.many[at][word]
+        before = np.r_[0, np.cumsum(many)]
+        texts = len(words.first) - 1
+        begins = before[words.first] + np.arange(texts + 1)
+        out = np.full(before[-1] + texts, end, np.uint32)
+        place = np.arange(before[-1])
+        source = np.repeat(self.first[at][word] - before[:-1], many) + place
+        out[place + np.repeat(words.rows, many)] = self.ids[source]
+        return out, begins
 
 
 @lru_cache(maxsize=2)
@@ -87,22 +136,18 @@ def word_ids(vocabulary: str) -> WordIds:
 
 
 def _pieces(size: int, vocabulary: str, end: int, keep_ids: bool):
-    closing = np.array([end], np.uint32).tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, shard, seen = word_ids(vocabulary), TaskContext.get().partitionId(), [0] * (size + 1)
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for lo, hi, words in slices(batch.column(1)):
-                at = words.offsets.tolist()
-                texts = [words.data[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-                rows = []
-                for name, ids in zip(names[lo:hi], coder.encode(texts)):
-                    ids += closing
-                    for piece, start in enumerate(range(0, len(ids), 4 * size)):
-                        own = ids[start : start + 4 * size]
+            for lo, hi, words in slices(batch.column(1), 2 * SLICE):
+                ids, begins = coder.encode(words, end)
+                ids, at, rows = ids.astype("<u4").tobytes(), (4 * begins).tolist(), []
+                for name, a, b in zip(names[lo:hi], at[:-1], at[1:]):
+                    for piece, start in enumerate(range(a, b, 4 * size)):
+                        own = ids[start : min(start + 4 * size, b)]
                         length = len(own) // 4
-                        rows.append((name, piece, start // 4, length, zlib.crc32(own),
+                        rows.append((name, piece, (start - a) // 4, length, zlib.crc32(own),
                                      own if keep_ids else None, shard, seen[length]))
                         seen[length] += 1
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]

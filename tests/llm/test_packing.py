@@ -2,9 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from pressmill.llm.packing import VOCABULARY, WordIds, best_fit_packing, fit, make_plan, pack, patterns, tokenizer
+from pressmill.llm.words import slices
 
 
 def filled(histogram, size, classes=512):
@@ -58,10 +61,35 @@ def test_no_rows_no_plan():
     assert make_plan({}).table().shape == (0, 5)
 
 
-@pytest.mark.parametrize("text", ["", "A b", "don't  STOP now x", "é ́a", "ΣΑΣ Σ", "x" * 300, "1234 🙂🙂 a_b", "İI\x00 \x1cz"])
-def test_words_have_the_ids_of_the_text(text):
-    assert WordIds(VOCABULARY).encode([text.encode()])[0] == np.array(
-        tokenizer(VOCABULARY).encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+def ids_of(coder, texts):
+    (_, _, words), = slices(pa.array(texts, pa.string()), 1 << 30)
+    ids, begins = coder.encode(words, 7)
+    assert len(begins) == len(texts) + 1 and begins[-1] == len(ids)
+    own = [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])]
+    assert all(i[-1] == 7 for i in own)
+    return [i[:-1] for i in own]
+
+
+TEXTS = ["", "A b", "don't  STOP now x", "é ́a", "ΣΑΣ Σ", "x" * 300, "1234 🙂🙂 a_b", "İI\x00 \x1cz", "İ. İ İ? ẞ! K. ſ,",
+         "<|ENDOFTEXT|> <|EndOfText|>. <|endoftext|> a<|endoftext|>. <|startoftext|>, <| |> <|endoftext|", None,
+         "it's. IT'S! 'S. a'. a.b. a.. .", "e\u0301. E\u0301 A\u030a. a\u00a0b.\u2003C", "word " * 3000]
+
+
+def test_words_have_the_ids_of_the_text():
+    coder = tokenizer(VOCABULARY)
+    want = [coder.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
+    for most in (1 << 20, 3):  # a full table starts anew
+        table = WordIds(VOCABULARY, most)
+        for _ in range(2):
+            assert ids_of(table, TEXTS) == want
+            assert [ids_of(table, [t])[0] for t in TEXTS] == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aAiİIıſK.,!?'<|>sSendoftxt \n\u0301\u0307éÉß1🙂_"), max_size=40), min_size=1, max_size=6))
+def test_any_words(texts):
+    coder = tokenizer(VOCABULARY)
+    assert ids_of(WordIds(VOCABULARY), texts) == [coder.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def check(rows, texts, size=2048):
