@@ -6,12 +6,12 @@ end of a piece. Spark's ROLLUP over these columns sums the counts of ever shorte
 table of windows gives the counts of all shorter phrases, each occurrence being the prefix of one window.
 
 Most windows of natural text occur once, and only phrases from ``least`` occurrences on matter. So a
-first pass counts pairs of neighbours in buckets of a hash. A bucket with fewer than ``least``
-occurrences holds no pair that matters, and a window is padded from such a pair on. What is
-padded away still counts for the shorter prefix; counts of pairs and longer phrases that occur
-``least`` times or more are exact, since all pairs inside them lie in open buckets. The number of
-buckets follows the size of the text up to ``MOST_BITS``; where buckets fill up beyond that,
-fewer windows are padded early, and nothing else changes.
+first pass counts all sequences of two words and more in buckets of a hash. A bucket with fewer than
+``least`` occurrences holds no sequence that matters, and a window is padded from the word on with
+which it or its last pair would fall into such a bucket. What is padded away still counts for the shorter
+prefix; counts of phrases that occur ``least`` times or more are exact, since they and all pairs inside
+them lie in open buckets. The number of buckets follows the size of the text up to ``MOST_BITS``;
+where buckets fill up beyond that, fewer windows are padded early, and nothing else changes.
 """
 
 from __future__ import annotations
@@ -33,9 +33,10 @@ TOP = 2000
 COVER = 50  # percent of a phrase's occurrences that a longer one must hold to replace it
 PART_BYTES = 3 << 20  # text that a task looks at together
 BATCH_ROWS = 20_000  # windows that go back at a time
-BLOCK_BITS = 20  # buckets of one block of the table
+BLOCK_BITS = 16  # buckets of one block of the table
+HELD_BUCKETS = 2_000_000  # that a task holds before it passes them on
 MOST_BITS = 30  # 128 MB of one bit each is the most that is sent to every worker
-_FULL = 4095
+_FULL = 255
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -80,13 +81,17 @@ def _hashes(names: pa.Array) -> np.ndarray:
     return word_hashes(Words(data, offsets[:-1], offsets[1:], offsets, offsets))
 
 
-def neighbours(t: Tokens, langs: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
-    """Is a word's right neighbour in its piece, and a hash of language and both words."""
+def sequences(t: Tokens, langs: pa.DictionaryArray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For 2, 3, … words from each word on: are they in one piece, and a hash of them and their language."""
     word = _hashes(t.names)[t.word] if len(t.names) else np.zeros(0, np.uint64)
-    lang = _hashes(langs.dictionary)[langs.indices.to_numpy(zero_copy_only=False)][t.row]
-    joined = np.r_[t.piece[1:] == t.piece[:-1], False] if len(t.piece) else np.zeros(0, bool)
-    pair = mix(word * np.uint64(0xD6E8FEB86659FD93) + np.roll(word, -1) + mix(lang))
-    return joined, pair
+    own = mix(_hashes(langs.dictionary))[langs.indices.to_numpy(zero_copy_only=False)][t.row] + word
+    out = []
+    for k in range(1, longest):
+        whole = np.zeros(len(word), bool)
+        whole[: max(len(word) - k, 0)] = t.piece[k:] == t.piece[: max(len(word) - k, 0)]
+        own = mix(own * np.uint64(0xD6E8FEB86659FD93) + np.roll(word, -k))
+        out.append((whole, own))
+    return out
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, pa.DictionaryArray]]:
@@ -114,19 +119,26 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Tokens, pa.Dicti
         yield out()
 
 
-def _counting(bits: int):
+def _counting(bits: int, longest: int):
+    def out(bucket: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        block = (bucket >> np.uint64(BLOCK_BITS)).astype(np.int32)
+        cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else np.zeros(1, int)
+        places, n = (bucket & np.uint64((1 << BLOCK_BITS) - 1)).astype("<u2"), np.minimum(n, _FULL).astype(np.uint8)
+        parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[cuts[:-1]], pa.int32()), pa.array([places[a:b].tobytes() for a, b in parts], pa.binary()),
+             pa.array([n[a:b].tobytes() for a, b in parts], pa.binary())], ["block", "places", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for t, langs in _parts(batches):
-            joined, pair = neighbours(t, langs)
-            bucket, n = np.unique(pair[joined] >> np.uint64(64 - bits), return_counts=True)
-            block = (bucket >> np.uint64(BLOCK_BITS)).astype(np.int32)
-            entry = ((bucket & np.uint64((1 << BLOCK_BITS) - 1)) << np.uint64(12)) | np.minimum(n, _FULL).astype(np.uint64)
-            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else np.zeros(1, int)
-            entry = entry.astype("<u4")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block[cuts[:-1]], pa.int32()),
-                 pa.array([entry[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
-                ["block", "entries"])
+            found = [pair[whole] >> np.uint64(64 - bits) for whole, pair in sequences(t, langs, longest)]
+            bucket, at = np.unique(np.concatenate([held, *found]), return_inverse=True)
+            held, n = bucket, np.bincount(at, np.r_[n, np.ones(len(at) - len(n), np.int64)], len(bucket)).astype(np.int64)
+            if len(held) > HELD_BUCKETS:
+                yield out(held, n)
+                held, n = held[:0], n[:0]
+        yield out(held, n)
 
     return run
 
@@ -135,10 +147,9 @@ def _opening(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, entries in zip(batch.column(0).to_pylist(), batch.column(1)):
-                entry = np.frombuffer(entries.as_buffer(), "<u4")
+            for block, places, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 own = sums.setdefault(block, np.zeros(1 << BLOCK_BITS, np.uint16))
-                at, n = entry >> 12, (entry & _FULL).astype(np.int64)
+                at, n = np.frombuffer(places.as_buffer(), "<u2"), np.frombuffer(counts.as_buffer(), np.uint8).astype(int)
                 own[at] = np.where(n == _FULL, 65535, np.minimum(own[at] + n, 65535))
         for block, own in sums.items():
             opened = np.packbits((own >= least) | (own == 65535))
@@ -148,14 +159,14 @@ def _opening(least: int):
     return run
 
 
-def open_buckets(texts: DataFrame, least: int) -> tuple[int, np.ndarray]:
-    """One bit for each bucket: may it hold a pair of neighbours that occurs ``least`` times?"""
+def open_buckets(texts: DataFrame, least: int, longest: int = LONGEST) -> tuple[int, np.ndarray]:
+    """One bit for each bucket: may it hold a sequence of words that occurs ``least`` times?"""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(max((size // 8).bit_length(), BLOCK_BITS), MOST_BITS)
+    bits = min(max((size // 4).bit_length(), BLOCK_BITS), MOST_BITS)
     blocks = 1 << (bits - BLOCK_BITS)
     width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = texts.mapInArrow(_counting(bits), "block int, entries binary")
-    opened = counted.repartition(max(width, blocks // 8), "block").mapInArrow(_opening(least), "block int, opened binary")
+    counted = texts.mapInArrow(_counting(bits, longest), "block int, places binary, counts binary")
+    opened = counted.repartition(max(width, blocks // 128), "block").mapInArrow(_opening(least), "block int, opened binary")
     table = np.zeros((blocks, (1 << BLOCK_BITS) // 8), np.uint8)
     for row in written(opened, "open-buckets").toLocalIterator():
         table[row["block"]] = np.frombuffer(row["opened"], np.uint8)
@@ -166,15 +177,18 @@ def _windows(sent, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, table = sent.value
         for t, langs in _parts(batches):
-            joined, pair = neighbours(t, langs)
-            bucket = pair >> np.uint64(64 - bits)
-            follows = joined & (table[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))) & 1).astype(bool)
+            opened = []  # for 2, 3, … words from each word on
+            for whole, hashed in sequences(t, langs, longest):
+                bucket = hashed >> np.uint64(64 - bits)
+                bit = table[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))) & 1
+                opened.append(whole & bit.astype(bool))
             n, width = len(t.word), len(t.names) + 1
             columns, ahead = [], np.ones(n, bool)
             group = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[t.row]
             for k in range(longest):  # the word k places ahead, -1 for padding
                 if k:
-                    ahead = ahead & np.r_[follows[k - 1 :], np.zeros(min(k - 1, n), bool)][:n]
+                    pair = np.r_[opened[0][k - 1 :], np.zeros(min(k - 1, n), bool)][:n]
+                    ahead = ahead & pair & opened[k - 1]
                 lead = np.where(ahead, np.r_[t.word[k:], np.zeros(min(k, n), np.int64)][:n], -1)
                 columns.append(lead)
                 _, group = np.unique(group * width + lead + 1, return_inverse=True)
@@ -197,7 +211,7 @@ def phrase_counts(texts: DataFrame, least: int = LEAST, longest: int = LONGEST)
     """
     texts = texts.select(F.coalesce(F.col("text"), F.lit("")).alias("text"),
                          F.coalesce(F.col("lang"), F.lit("und")).alias("lang"))
-    sent = texts.sparkSession.sparkContext.broadcast(open_buckets(texts, least))
+    sent = texts.sparkSession.sparkContext.broadcast(open_buckets(texts, least, longest))
     names = [f"w{k + 1}" for k in range(longest)]
     kinds = ", ".join(f"{c} string" for c in ("lang", *names))
     windows = texts.mapInArrow(_windows(sent, longest), f"{kinds}, n long")

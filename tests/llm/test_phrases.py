@@ -88,8 +88,9 @@ def test_parts_hold_whole_rows(monkeypatch):
 def test_open_buckets_never_hide_a_frequent_pair(spark):
     rows = [(i, "p q" if i < 5 else f"u{i} v{i}", "en") for i in range(400)]
     texts = spark.createDataFrame(rows, SCHEMA).select("text", "lang").repartition(7)
-    bits, table = module.open_buckets(texts, 5)
-    assert bits == module.BLOCK_BITS and 0 < sum(bin(b).count("1") for b in table.tolist()) < 5
+    for longest in (2, 3):
+        bits, table = module.open_buckets(texts, 5, longest)
+        assert bits == module.BLOCK_BITS and 0 < sum(bin(b).count("1") for b in table.tolist()) < 5
 
 
 def test_no_rows_and_no_words(spark):
