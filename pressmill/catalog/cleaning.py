@@ -71,7 +71,7 @@ def _choice(values, of: Column) -> Column:
     return chosen
 
 
-def _sql_choice(values, of: str) -> str:
+def sql_choice(values, of: str) -> str:
     cases = " ".join(
         f"WHEN {i} THEN {'NULL' if value is None else v.quoted(value)}"
         for i, value in enumerate(values)
@@ -82,7 +82,7 @@ def _sql_choice(values, of: str) -> str:
 @query(v.with_(v.DOCUMENTS, select=f"""
   SELECT article_id, CASE WHEN raw IN ('', 'N/A', 'NA', '-', 'n/a') THEN '' ELSE raw END AS value
   FROM (SELECT article_id, CASE WHEN article_id % 9 = 8 THEN source
-          ELSE {_sql_choice(_RAW_VALUES, 'article_id % 9')} END AS raw FROM docs)"""))
+          ELSE {sql_choice(_RAW_VALUES, 'article_id % 9')} END AS raw FROM docs)"""))
 def na_normalize(spark, sf_dir):
     docs = v.table(spark, sf_dir, "documents")
     raw = F.when(F.col("doc_id") % 9 == 8, F.col("source")).otherwise(
@@ -117,7 +117,7 @@ _NAMES = ("Dnevni Avaz ", "  ČĆŽŠĐ čćžšđ/", "Oslobođenje — ", "..."
 @query(f"""
   SELECT doc_id AS article_id, coalesce(nullif(trim(regexp_replace(
       translate(lower(name), 'čćžšđ', 'cczsd'), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'unknown') AS slug
-  FROM (SELECT doc_id, {_sql_choice(_NAMES, 'doc_id % 5')}
+  FROM (SELECT doc_id, {sql_choice(_NAMES, 'doc_id % 5')}
           || CASE WHEN doc_id % 5 < 3 THEN source ELSE '' END AS name FROM documents)""")
 def slugify_source(spark, sf_dir):
     docs = v.table(spark, sf_dir, "documents")
@@ -165,7 +165,7 @@ STEMS = (
 )
 
 
-def _sql_label(of: str) -> str:
+def sql_label(of: str) -> str:
     cases = " ".join(
         f"WHEN {i} THEN {'NULL' if label is None else label}" for i, (_, label) in enumerate(STEMS)
     )
@@ -177,26 +177,13 @@ def _file_path(d: Column) -> Column:
     return F.concat(F.lit("file:/arhiva/gpt/"), "source", F.lit("_"), stems, F.lit(".txt"))
 
 
-@query(f"SELECT doc_id AS article_id, {_sql_label(f'doc_id % {len(STEMS)}')} AS label FROM documents")
+@query(f"SELECT doc_id AS article_id, {sql_label(f'doc_id % {len(STEMS)}')} AS label FROM documents")
 def label_from_filename(spark, sf_dir):
     docs = v.table(spark, sf_dir, "documents")
     label = meta.label_from_stem(meta.stem_of(_file_path(F.col("doc_id"))))
     return docs.select(F.col("doc_id").alias("article_id"), label.cast("int").alias("label"))
 
 
-@query(f"""
-  SELECT source || '_' || {_sql_choice([s for s, _ in STEMS], f'doc_id % {len(STEMS)}')} || '.txt'
-      AS file, count(*) AS n_articles
-  FROM documents WHERE {_sql_label(f'doc_id % {len(STEMS)}')} IS NULL GROUP BY 1""")
-def unlabelled_files(spark, sf_dir):
-    """Files left out because their name tells no class, with what they hold."""
-    docs = v.table(spark, sf_dir, "documents")
-    paths = docs.select(_file_path(F.col("doc_id")).alias("path"))
-    rejected = paths.where(meta.label_from_stem(meta.stem_of(F.col("path"))).isNull())
-    file = F.element_at(F.split("path", "/"), -1)
-    return rejected.groupBy(file.alias("file")).agg(F.count("*").alias("n_articles"))
-
-
 @query("""
   SELECT doc_id AS article_id,
     CASE doc_id % 3 WHEN 2 THEN source ELSE 'arhiva' END AS source FROM documents""")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -21,3 +23,20 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
         return function
 
     return register
+
+
+_FIXTURES: dict[tuple[str, str, str], str] = {}
+
+
+def fixture(make: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSession, str], str]:
+    """The folder that ``make(spark, sf_dir, folder)`` fills with files: once for each application and table folder."""
+
+    def folder(spark: SparkSession, sf_dir: str) -> str:
+        key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+        if key not in _FIXTURES:
+            path = scratch_path(spark, make.__name__)
+            make(spark, sf_dir, path)
+            _FIXTURES[key] = path
+        return _FIXTURES[key]
+
+    return folder

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import metrics, summary
 from ..operators.rewriting import attach_rewrites as attach
 from ..operators.rewriting import rewrite_requests as requests
 from ..operators.scoring import model_scorer, score_table as score
-from ..plans.prepare import cleaned, unique_rows
-from ..plans.training import runs_table, train_runs
+from ..operators.dedup import keep_first
+from ..plans.prepare import cleaned
+from ..plans.training import RunStore, runs_table, train_runs
+from ..session import scratch_path
 from ..operators.filters import within_length
 from . import views as v
 from .registry import query
+from .selection import MEASURED, UNIQUE, balanced_view, split_view
 
+PREPARED_UNIQUE = (v.CORPUS, MEASURED, UNIQUE)
 SCORED = (v.DOCUMENTS, v.scored_view("docs"))
 
 
@@ -150,13 +157,86 @@ def best_run(spark, sf_dir):
     return _rounded(metrics.best_run(runs).select("run_id", "f1"), "f1")
 
 
+def _training_rows(spark, sf_dir) -> DataFrame:
+    """Cleaned, unique texts of both classes."""
+    measured = within_length(cleaned(v.corpus(spark, sf_dir).select("article_id", "label", "text")))
+    return keep_first(measured, "article_id").select("article_id", "label", "text")
+
+
 @query()
 def train_multi_seed(spark, sf_dir):
     """Five runs of the classifier; no SQL can fit a model."""
-    measured = within_length(cleaned(v.corpus(spark, sf_dir)))
-    first = unique_rows(measured.select("article_id", "label", "text", "text_len"))
-    unique = measured.join(first.select("article_id"), "article_id", "left_semi")
-    return runs_table(unique, train_runs(unique, max_iter=10, features=1 << 12, parallelism=5))
+    unique = _training_rows(spark, sf_dir)
+    return runs_table(unique, train_runs(unique, parallelism=5))
+
+
+# Metrics, reports, summary and best run once more, in SQL over the stored test predictions.
+_RECOMPUTED = """
+WITH classes AS (SELECT DISTINCT seed, explode(array(label, pred_label)) AS class FROM predictions),
+per_class AS (
+  SELECT c.seed, c.class, count_if(p.label = c.class) AS support, count_if(p.pred_label = c.class) AS predicted,
+    count_if(p.label = c.class AND p.pred_label = c.class) AS hits
+  FROM classes c JOIN predictions p ON p.seed = c.seed GROUP BY c.seed, c.class),
+scores AS (
+  SELECT *, coalesce(try_divide(hits, predicted), 0) AS p, coalesce(try_divide(hits, support), 0) AS r,
+    2 * hits / (support + predicted) AS f FROM per_class)
+SELECT seed, sum(hits) / sum(support) AS accuracy, avg(f) AS f1, avg(p) AS precision, avg(r) AS recall,
+  sum(support) AS n, max(if(class = 0, f, 0)) AS f_human, sum(f * support) / sum(support) AS f_weighted
+FROM scores GROUP BY seed"""
+
+
+def _runs_sql() -> str:
+    views = [*PREPARED_UNIQUE]
+    for seed in range(42, 47):
+        views += [balanced_view("unique_rows", f"b{seed}", seed), split_view(f"b{seed}", f"s{seed}", seed)]
+    runs = " UNION ALL ".join(
+        f"""SELECT {seed} AS seed, {seed} - 41 AS run_id, label, count(*) AS n_test, TRUE AS metrics_agree,
+        TRUE AS report_agrees, TRUE AS summary_agrees, TRUE AS best_agrees, TRUE AS read_again
+        FROM s{seed} WHERE split = 'test' GROUP BY label"""
+        for seed in range(42, 47)
+    )
+    return v.with_(*views, select=runs)
+
+
+@query(_runs_sql())
+def stored_runs(spark, sf_dir):
+    """Five stored runs: what they hold is what SQL makes of the stored predictions; a second call fits nothing."""
+    unique = _training_rows(spark, sf_dir)
+    folder = scratch_path(spark, "runs")
+    store = RunStore(spark, folder)
+    runs = train_runs(unique, parallelism=5, store=folder)
+    again = train_runs(unique, store=folder)
+    same = [a.metrics == b.metrics and a.reg_param == b.reg_param for a, b in zip(runs, again, strict=True)]
+    store.predictions().createOrReplaceTempView("predictions")
+    sql = spark.sql(_RECOMPUTED)
+
+    def near(a, b):
+        return F.abs(F.col(a) - F.col(b)) < 1e-9
+
+    results = store.results().withColumnsRenamed({m: f"r_{m}" for m in metrics.METRICS})
+    def line(section, metric):
+        return F.max(F.when((F.col("section") == section) & (F.col("metric") == metric), F.col("value")))
+
+    lines = store.reports().groupBy("seed").agg(
+        line("Human-written", "f1-score").alias("human"), line("weighted avg", "f1-score").alias("weighted"),
+        line("macro avg", "support").alias("support"),
+    )
+    checked = sql.join(results, "seed").join(lines, "seed").select(
+        "seed", "run_id", reduce(and_, (near(m, f"r_{m}") for m in metrics.METRICS)).alias("metrics_agree"),
+        (near("f_human", "human") & near("f_weighted", "weighted") & near("n", "support")).alias("report_agrees"),
+    )
+    means = sql.agg(*(F.avg(m).alias(m) for m in metrics.METRICS), *(F.stddev_pop(m).alias(f"{m}_std") for m in metrics.METRICS)).first()
+    stored = {r["metric"]: r for r in spark.read.json(store.path("summary")).collect()}
+    summary_agrees = all(
+        abs(stored[m]["mean"] - means[m]) < 1e-9 and abs(stored[m]["std"] - means[f"{m}_std"]) < 1e-9 for m in metrics.METRICS
+    )
+    best = sql.orderBy(F.desc(F.round("f1", 12)), "seed").first()["seed"]
+    best_agrees = spark.read.json(store.path("best_run")).first()["seed"] == best
+    sizes = store.predictions().groupBy("seed", "label").agg(F.count("*").alias("n_test"))
+    return sizes.join(checked, "seed").select(
+        "seed", "run_id", "label", "n_test", "metrics_agree", "report_agrees",
+        F.lit(summary_agrees).alias("summary_agrees"), F.lit(best_agrees).alias("best_agrees"), F.lit(all(same)).alias("read_again"),
+    )
 
 
 # --- rewriting ---------------------------------------------------------------------------------

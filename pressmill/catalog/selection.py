@@ -9,8 +9,7 @@ from ..operators import counters, filters
 from ..operators.cleaning import with_clean_text
 from ..operators.dedup import keep_first
 from ..operators.sampling import balance, shuffle_rank, stratified_split
-from ..plans.prepare import cleaned, prepare, unique_rows
-from ..session import written
+from ..plans.prepare import cleaned, prepare, prepared
 from . import views as v
 from .registry import query
 
@@ -192,19 +191,14 @@ def year_range_profile(spark, sf_dir):
     return counters.year_profile(docs)
 
 
-def _chosen(spark, sf_dir):
-    """Keys, classes and splits of the prepared corpus."""
-    measured = filters.within_length(
-        cleaned(v.corpus(spark, sf_dir).select("article_id", "label", "text"))
-    )
-    unique = written(unique_rows(measured).drop("text_key"), "unique")
-    return unique, stratified_split(balance(unique))
+def _prepared(spark, sf_dir):
+    return prepared(v.corpus(spark, sf_dir).select("article_id", "label", "year", "text"))
 
 
 @query(v.with_(*PREPARED, select="""
   SELECT split, label, count(*) AS n FROM splits GROUP BY ROLLUP (split, label)"""))
 def split_stats(spark, sf_dir):
-    return counters.split_counts(_chosen(spark, sf_dir)[1])
+    return counters.split_counts(_prepared(spark, sf_dir).chosen)
 
 
 @query(v.with_(*PREPARED, select="""
@@ -214,19 +208,12 @@ def split_stats(spark, sf_dir):
   UNION ALL SELECT 'balanced', count(*) FROM balanced
   UNION ALL SELECT split, count(*) FROM splits GROUP BY split"""))
 def stage_counts(spark, sf_dir):
-    """Rows left after every stage of the preparation."""
-    measured = cleaned(v.corpus(spark, sf_dir).select("article_id", "label", "text"))
-    early = counters.stage_counts(
-        measured,
-        {"loaded": F.lit(True), "length": F.col("text_len").between(200, 50_000)},
-    )
-    unique, chosen = _chosen(spark, sf_dir)
-    return (
-        early.unpivot([], ["loaded", "length"], "stage", "n")
-        .unionByName(unique.agg(F.lit("unique").alias("stage"), F.count("*").alias("n")))
-        .unionByName(chosen.agg(F.lit("balanced").alias("stage"), F.count("*").alias("n")))
-        .unionByName(chosen.groupBy(F.col("split").alias("stage")).agg(F.count("*").alias("n")))
-    )
+    """Rows left after every stage, as the passes of the preparation count them."""
+    done = _prepared(spark, sf_dir)
+    early = spark.createDataFrame(list(done.stages.items()), "stage string, n long")
+    by_split = done.chosen.groupBy(F.col("split").alias("stage")).agg(F.count("*").alias("n"))
+    balanced = done.chosen.agg(F.lit("balanced").alias("stage"), F.count("*").alias("n"))
+    return early.unionByName(balanced).unionByName(by_split)
 
 
 @query(v.with_(v.CORPUS, select="""

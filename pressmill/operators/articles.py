@@ -47,6 +47,11 @@ def _last_value(entries: Column, key: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
+def has_body(block: Column) -> Column:
+    """Is there a line that cannot stand in a header? Such a block is an article."""
+    return F.exists(lines(strip(block)), lambda line: ~line.rlike(_HEADER_OR_BLANK))
+
+
 def parse_blocks(blocks: DataFrame) -> DataFrame:
     """Header fields and body of every block that has a body.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import broadcast_if_small, written
+
 
 def text_key(text: Column) -> Column:
     """32 bytes that stand for a text."""
@@ -22,12 +24,32 @@ def first_copies(df: DataFrame, key: str, order: str, *carried: str) -> DataFram
     )
 
 
+def later_copies(narrow: DataFrame, key: str, order: str) -> DataFrame:
+    """``(order)`` of every row whose ``key`` appears in a row with a smaller ``order``. Stored.
+
+    Keys that appear once leave the job at the first, partial count. The others' first rows
+    meet all rows again; they are few, and if not, Spark's skew join divides a hot key.
+    """
+    counts = narrow.groupBy(key).agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+    copied = written(counts.where("_n > 1").select(key, "_first"), "copied")
+    later = narrow.join(broadcast_if_small(copied), key).where(F.col(order) > F.col("_first"))
+    return written(later.select(order), "later-copies")
+
+
+def without(df: DataFrame, losers: DataFrame, order: str) -> DataFrame:
+    """Rows of ``df`` less those named. A few losers are sent to the rows, not the rows to them."""
+    return df.join(broadcast_if_small(losers), order, "left_anti")
+
+
 def keep_first(df: DataFrame, order: str, text: str = "text") -> DataFrame:
     """Rows of ``df`` whose text appears in no row with a smaller ``order``.
 
     ``order`` is unique. The survivor of ``dropDuplicates`` would be any copy; here
-    it is the first one. Texts are hashed where they are scanned, the copies meet as
-    hashes, and the bodies are matched to the surviving numbers by a semi join.
+    it is the first one. Texts and their hashes are stored once, where they are computed; only
+    hashes and numbers are shuffled, and the later copies are taken out of the stored table.
+    A null text is one text of its own. The stored hash takes the place of a column ``_key``.
     """
-    hashed = df.select(order, text_key(F.col(text)).alias("_key"))
-    return df.join(first_copies(hashed, "_key", order).select(order), order, "left_semi")
+    hashed = F.coalesce(text_key(F.col(text)), F.lit(bytearray()))
+    staged = written(df.withColumn("_key", hashed), "staged")
+    losers = later_copies(staged.select(order, "_key"), "_key", order)
+    return without(staged, losers, order).select(*df.columns)

@@ -90,13 +90,26 @@ def one_report(
     return table.orderBy(*(F.asc_nulls_last(key) for key in keys))
 
 
-def batch_totals(scored: DataFrame) -> DataFrame:
-    """Share of AI text and mean confidence of a batch; null for an empty one."""
-    totals = scored.agg(*_totals())
+def prediction_totals() -> dict[str, Column]:
+    """What the totals of a batch are computed from, as aggregates of its rows."""
+    return {
+        "n_articles": F.count(F.lit(1)),
+        "n_ai": F.count_if(F.col("pred_label") == AI),
+        "confidence": F.avg("confidence"),
+    }
+
+
+def totals_table(counted: DataFrame) -> DataFrame:
+    """Share of AI text and mean confidence of counted rows; null for an empty batch."""
     n = F.nullif(F.col("n_articles"), F.lit(0)).cast("double")
-    return totals.select(
+    return counted.select(
         "n_articles",
-        F.col("_n_ai").alias("n_ai"),
-        round1_exact(F.col("_n_ai") * F.lit(100.0) / n).alias("ai_pct"),
-        round1_exact(F.col("_confidence") * 100).alias("mean_conf_pct"),
+        "n_ai",
+        round1_exact(F.col("n_ai") * F.lit(100.0) / n).alias("ai_pct"),
+        round1_exact(F.col("confidence") * 100).alias("mean_conf_pct"),
     )
+
+
+def batch_totals(scored: DataFrame) -> DataFrame:
+    """The totals of a table of predictions, in one row."""
+    return totals_table(scored.agg(*(t.alias(name) for name, t in prediction_totals().items())))

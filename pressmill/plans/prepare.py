@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import dataclass
 
-from ..functions.fixed import MAX_LENGTH, MIN_LENGTH, SEED, TRAIN_SHARE, VAL_SHARE
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from ..functions.fixed import HUMAN, MAX_LENGTH, MIN_LENGTH, SEED, TRAIN_SHARE, VAL_SHARE
+from ..functions.metadata import ai_era
 from ..operators.cleaning import with_clean_text
-from ..operators.counters import split_statistics, stage_counts
-from ..operators.dedup import first_copies, text_key
+from ..operators.counters import split_statistics
+from ..operators.dedup import first_copies, later_copies, text_key, without
 from ..operators.filters import require_columns, with_length, within_length
-from ..operators.sampling import balance, stratified_split
+from ..operators.sampling import balanced, split_of
 from ..session import written
-from ..sources.dumps import SPLIT_ABOVE
 from ..sources.sinks import write_small, write_splits
-from ..sources.tables import read_mixed
+from ..sources.tables import read_mixed, unlabelled_dumps
+
+SPLIT_NAMES = ("train", "val", "test")
 
 
 def cleaned(corpus: DataFrame) -> DataFrame:
@@ -31,7 +35,22 @@ def unique_rows(measured: DataFrame, key: str = "article_id") -> DataFrame:
     return first_copies(narrow, "text_key", key, "label", "text_len")
 
 
-def prepare(
+@dataclass(frozen=True)
+class Prepared:
+    """A prepared corpus, and the rows left after every stage as the passes counted them."""
+
+    rows: DataFrame
+    chosen: DataFrame
+    stages: dict[str, int]
+    contamination: dict[str, int]
+
+
+def _observed(df: DataFrame, name: str, observation: Observation, **metrics) -> DataFrame:
+    """``df`` stored, with metrics of the very pass that stores it."""
+    return written(df.observe(observation, *(m.alias(n) for n, m in metrics.items())), name)
+
+
+def prepared(
     corpus: DataFrame,
     key: str = "article_id",
     seed: int = SEED,
@@ -39,27 +58,48 @@ def prepare(
     longest: int = MAX_LENGTH,
     train_share: float = TRAIN_SHARE,
     val_share: float = VAL_SHARE,
-) -> DataFrame:
-    """The balanced and split corpus: ``corpus`` with cleaned text, ``text_len``, ``split``.
-
-    Which rows are chosen is decided on a stored table of hashes, keys and labels.
-    Bodies are read a second time for the chosen rows only and cleaned after the
-    match, so the larger class's surplus is not carried through the job. Small and
-    large ``chosen`` tables alike are left to the optimizer's size check.
+    sample_key: str | None = None,
+) -> Prepared:
+    """The balanced and split corpus with cleaned text, ``text_len`` and ``split``.
+
+    A text is cleaned, measured, hashed and stored once, where it is scanned. Copies meet as hashes; the
+    sample and the split are conditions on literals. So the stored table is read once more, and its
+    rows pass two filters on their way out: no body is shuffled, and none of the surplus is carried.
+    Rows are drawn by ``sample_key`` (by default ``key``); ``text_key`` is the hash of the text in hexadecimal digits.
     """
     require_columns(corpus, "text", "label", key)
-    measured = within_length(cleaned(corpus.select(key, "label", "text")), shortest, longest)
-    unique = written(unique_rows(measured, key).drop("text_key"), "unique")
-    chosen = stratified_split(
-        balance(unique, seed, key), seed, key, train_share, val_share
-    ).select(key, "text_len", "split")
-    return with_clean_text(corpus.join(chosen, key))
+    long_enough = F.col("text_len").between(shortest, longest)
+    loading, deduplicating = Observation(), Observation()
+    year = F.col("year") if "year" in corpus.columns else F.lit(None).cast("int")
+    staged = cleaned(corpus).withColumn("text_key", F.hex(text_key(F.col("text"))))
+    staged = _observed(
+        staged, "cleaned", loading,
+        loaded=F.count(F.lit(1)), length=F.count_if(long_enough),
+        n_human=F.count_if(F.col("label") == HUMAN), n_ai_era=F.count_if(ai_era(F.col("label"), year)),
+    )
+    kept = within_length(staged, shortest, longest)
+    narrow = kept.select(*dict.fromkeys([key, "label", "text_key"]))
+    losers = later_copies(narrow, "text_key", key)
+    unique = _observed(without(narrow, losers, key), "unique", deduplicating, unique=F.count(F.lit(1)))
+    draw = sample_key or key
+    in_sample = balanced(unique, seed, draw)
+    chosen = unique.where(in_sample)
+    split = split_of(chosen, seed, draw, train_share, val_share)
+    chosen = chosen.withColumn("split", split)
+    rows = without(kept, losers, key).where(in_sample).withColumn("split", split)
+    counts = loading.get
+    stages = {"loaded": counts["loaded"], "length": counts["length"], "unique": deduplicating.get["unique"]}
+    return Prepared(rows, chosen, stages, {n: counts[n] for n in ("n_ai_era", "n_human")})
+
+
+def prepare(corpus: DataFrame, key: str = "article_id", seed: int = SEED, **options) -> DataFrame:
+    """The rows of ``prepared``: ``corpus`` with cleaned text, ``text_len`` and ``split``."""
+    return prepared(corpus, key, seed, **options).rows.drop("text_key")
 
 
 def load_order(corpus: DataFrame) -> DataFrame:
     """Adds ``article_id``: unique, and in load order as a string."""
-    place = F.lpad(F.col("pos").cast("string"), 20, "0")
-    return corpus.withColumn("article_id", F.concat_ws("#", "kind", "path", place)).drop(
+    return corpus.withColumn("article_id", F.concat_ws("#", "kind", "path", "pos")).drop(
         "kind", "path", "pos"
     )
 
@@ -75,28 +115,30 @@ def prepare_dataset(
     seed: int = SEED,
     txt_label: int | None = None,
     fmt: str = "parquet",
-    split_above: int | None = SPLIT_ABOVE,
 ) -> dict:
     """Prepares a folder of CSV tables and dumps, stores splits and statistics.
 
-    Parsing and cleaning run once: the cleaned corpus is stored in the scratch
-    folder, and the following steps read single columns of it. Rows are sampled by
-    the hash of their text, which is unique by then and does not depend on how the
-    files were read. Returns the statistics with the rows left after every stage.
+    Parsing and cleaning run once. Rows are sampled by the hash of their text, which is unique by
+    then and does not depend on how the files were read. Returns the statistics, the rows left
+    after every stage, the rows of the human class from the years that are in doubt, and how many dumps
+    were left out because their name tells no class; these are listed in ``rejected_files``.
     """
-    corpus = load_order(read_mixed(spark, input_dir, txt_label, split_above))
-    staged = written(cleaned(corpus), "cleaned")
-    kept = within_length(staged, shortest, longest)
-    unique = unique_rows(kept).withColumn("text_key", F.hex("text_key"))
-    unique = written(unique, "unique")
-    chosen = stratified_split(
-        balance(unique, seed, "text_key"), seed, "text_key", train_share, val_share
+    corpus = load_order(read_mixed(spark, input_dir, txt_label))
+    done = prepared(
+        corpus, "article_id", seed, shortest, longest, train_share, val_share, sample_key="text_key"
     )
-    result = staged.join(chosen.select("article_id", "split"), "article_id")
-    write_splits(result, f"{output_dir}/splits", fmt)
-    statistics = split_statistics(chosen)
+    write_splits(done.rows.drop("text_key"), f"{output_dir}/splits", fmt)
+    statistics = split_statistics(done.chosen)
     write_small(statistics, f"{output_dir}/statistics")
-    rows = statistics.first().asDict(recursive=True)
-    long_enough = F.col("text_len").between(shortest, longest)
-    stages = stage_counts(staged, {"loaded": F.lit(True), "length": long_enough}).first().asDict()
-    return {**rows, "stages": {**stages, "unique": unique.count(), "balanced": rows["total"]}}
+    row = statistics.first().asDict(recursive=True)
+    rejected = 0
+    if txt_label is None:
+        unlabelled = unlabelled_dumps(spark, input_dir)
+        write_small(unlabelled, f"{output_dir}/rejected_files")
+        rejected = unlabelled.count()
+    return {
+        **row,
+        "stages": {**done.stages, "balanced": row["total"]},
+        "contamination": done.contamination,
+        "rejected_files": rejected,
+    }

@@ -49,9 +49,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage at files that outlive any executor, and gives the
     following steps a columnar table of which they read only what they need.
     """
-    path = scratch_path(df.sparkSession, name)
+    return stored(df.sparkSession, df, name)
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to scratch and read back in ``spark``, which may not be its own session."""
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 1 << 18
+
+
+def broadcast_if_small(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table of short rows with a broadcast hint if it has few of them.
+
+    Beyond the bound it is returned as it is, and Spark joins by shuffling.
+    """
+    return F.broadcast(table) if table.count() <= most else table
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:

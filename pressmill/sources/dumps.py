@@ -1,9 +1,11 @@
 """Readers of newspaper dumps.
 
-A dump file of ordinary size is one row: its blocks are split, parsed and cleaned in
-one task and nothing is shuffled. A file may also be far larger than a task, or than
-the 2 GB a string can hold, so files above ``SPLIT_ABOVE`` bytes are read in pieces by
-as many tasks as they have splits, and give the same rows.
+A dump of any size is read by as many tasks as it has splits. The reader cuts a file behind
+every line that ends in front of a mark, so a piece starts behind a mark and ends with a whole
+line: all delimiters are whole inside one piece or are the cut itself, and a piece is split
+into blocks where it was scanned. Two things need more than one piece, a mark with text behind
+it on its line, which is no delimiter, and a byte order mark, which the reader drops. One narrow pass
+finds the files that have either, from a small row for each split; only their pieces are touched again.
 """
 
 from __future__ import annotations
@@ -14,14 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions import metadata as meta
 from ..functions.blanks import fold_newlines
 from ..functions.fixed import DEFAULT_EXCLUDED_CATEGORIES
-from ..operators.articles import corpus_rows, parse_blocks, split_blocks
+from ..operators.articles import DELIMITER_LINE, corpus_rows, has_body, parse_blocks
+from ..session import broadcast_if_small, written
 
-SPLIT_ABOVE = 64 * 1024 * 1024
 MARK = "<***>"
+CUT = "\n" + MARK
 BOM = chr(0xFEFF)
 
-# Blanks that do not end a line.
-_INLINE_BLANK = r"[\t\x0b\x0c\r\x1c-\x1f\x85\p{Z}]"
+# Blanks that do not end a line, with or without a line end behind them.
+_REST_OF_LINE = r"\A[\t\x0b\x0c\x1c-\x1f\x85\p{Z}]*(?:[\r\n]|\z)"
+# The place of a piece in its file, then of a block in its piece.
+_PLACE = ("path", "cut", "seq")
+PLACE = ("cut", "seq", "inner")
 
 
 def _text(value: Column) -> Column:
@@ -34,8 +40,26 @@ def _reader(spark: SparkSession, recursive: bool):
     return reader.option("recursiveFileLookup", "true") if recursive else reader
 
 
-def _path() -> Column:
-    return meta.decoded_path(F.col("_metadata.file_path")).alias("path")
+def file_path() -> Column:
+    """The path of a scanned file, as a condition that is settled when files are listed."""
+    return meta.decoded_path(F.col("_metadata.file_path"))
+
+
+def list_files(
+    spark: SparkSession,
+    paths: str | list[str],
+    recursive: bool = True,
+    files: Column | None = None,
+    suffix: str = "txt",
+) -> DataFrame:
+    """``(path, n_bytes)`` of every file, from the listing alone."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    found = reader.load(paths)
+    if files is not None:
+        found = found.where(files)
+    return found.select(file_path().alias("path"), F.col("length").alias("n_bytes"))
 
 
 def scan_dumps(
@@ -48,7 +72,7 @@ def scan_dumps(
     """Dump files as rows ``(path, value)``: one ``.txt`` file or a tree of them.
 
     A byte order mark stays in the text by default; it hides a delimiter that
-    stands right behind it. ``files`` is a condition on ``_metadata``.
+    stands right behind it. ``files`` is a condition on ``file_path()``.
     """
     value = _text(F.col("value"))
     if strip_bom:
@@ -56,190 +80,198 @@ def scan_dumps(
     scan = _reader(spark, recursive).text(paths, wholetext=True)
     if files is not None:
         scan = scan.where(files)
-    return scan.select(_path(), value.alias("value"))
+    return scan.select(file_path().alias("path"), value.alias("value"))
 
 
-def scan_pieces(spark: SparkSession, paths: str | list[str], recursive: bool = True) -> DataFrame:
-    """The text between marks, with its split (``cut``) and its order in it (``seq``).
+def scan_pieces(
+    spark: SparkSession,
+    paths: str | list[str],
+    recursive: bool = True,
+    files: Column | None = None,
+) -> DataFrame:
+    """The raw text between cuts, with its split (``cut``) and its order in it (``seq``).
 
-    The marks are ASCII, so they never cut a character in two.
+    ``files`` stands below the row numbers, so files that it rules out are never opened.
+    Cuts are ASCII and never part a character.
     """
-    scan = _reader(spark, recursive).text(paths, lineSep=MARK)
+    scan = _reader(spark, recursive).text(paths, lineSep=CUT)
+    if files is not None:
+        scan = scan.where(files)
     return scan.select(
-        _path(),
+        file_path().alias("path"),
         F.col("_metadata.file_size").alias("file_bytes"),
         F.col("_metadata.file_block_start").alias("cut"),
         F.monotonically_increasing_id().alias("seq"),
-        F.octet_length("value").alias("piece_bytes"),
-        _text(F.col("value")).alias("value"),
+        "value",
+        F.col("value").rlike(_REST_OF_LINE).alias("opens"),
     )
 
 
-def blocks_of_pieces(pieces: DataFrame, strip_bom: bool = False) -> DataFrame:
-    """Blocks ``(path, pos, block)`` of files that were read in pieces.
+def _odd_files(pieces: DataFrame) -> DataFrame:
+    """Files with a byte order mark, with stray marks, or with a mark at their very end.
 
-    A mark is a delimiter if it stands alone on its line: the piece before it must
-    end with a blank line start, the piece behind it must begin with a blank line
-    end. Otherwise it is text and both pieces belong to one block. So a piece must
-    know its neighbours only. Windows run within one split of one file, which
-    ``spark.sql.files.maxPartitionBytes`` bounds; between splits one small row each
-    is exchanged.
+    What the reader left out of a file is the cuts, three bytes of a byte order mark and a cut at the
+    very end. The first piece of a file (``first``) has no mark in front of it and opens a block anyway.
     """
-    in_split = Window.partitionBy("path", "cut").orderBy("seq")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    by_split = Window.partitionBy("path").orderBy("cut")
-    earlier = by_split.rowsBetween(Window.unboundedPreceding, -1)
-    whole_file = Window.partitionBy("path")
-
-    bare = F.col("value").rlike(rf"\A{_INLINE_BLANK}*\z")
-    nth = F.row_number().over(in_split)
-    marked = pieces.select(
-        "*",
-        bare.alias("bare"),
-        F.col("value").rlike(rf"\A{_INLINE_BLANK}*\n").alias("opens"),
-        F.col("value").rlike(rf"\n{_INLINE_BLANK}*\z").alias("closes_line"),
-    )
-
-    def in_place(df: DataFrame) -> DataFrame:
-        """Adds the piece's number in its split and whether the one before closes."""
-        df = df.withColumn("nth", nth).withColumn(
-            "closes",
-            # The file's first piece may be blank up to the mark without a newline.
-            F.col("closes_line") | (F.col("bare") & (F.col("cut") == 0) & (F.col("nth") == 1)),
-        )
-        return df.withColumn("before_closes", F.lag("closes").over(in_split))
-
-    # Narrow pass: one row per split, without any text.
-    per_split = (
-        in_place(marked.drop("value"))
-        .groupBy("path", "cut")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum("piece_bytes").alias("n_bytes"),
-            F.max("file_bytes").alias("file_bytes"),
-            F.count_if(F.col("before_closes") & F.col("opens")).alias("inner_starts"),
-            F.count_if(
-                F.col("before_closes") & F.col("opens") & (F.col("cut") == 0) & (F.col("nth") == 2)
-            ).alias("second_starts"),
-            F.min_by("bare", "seq").alias("head_bare"),
-            F.max_by("bare", "seq").alias("tail_bare"),
-            F.max_by("closes", "seq").alias("tail_closes"),
-            F.min_by("opens", "seq").alias("head_opens"),
-        )
-    )
-    # What the reader left out of the file: a BOM (3 bytes) and a mark at the very end.
-    unread = F.col("file_bytes") - F.sum("n_bytes").over(whole_file) - len(MARK) * (
-        F.sum("n").over(whole_file) - 1
+    splits = pieces.groupBy("path", "cut").agg(
+        F.count("*").alias("n"),
+        F.sum(F.octet_length("value")).alias("n_bytes"),
+        F.max("file_bytes").alias("file_bytes"),
+        F.count_if(~F.col("opens")).alias("strays"),
+        F.min("seq").alias("first"),
+        F.min_by("opens", "seq").alias("first_opens"),
     )
-    edges = (
-        per_split.withColumn("unread", unread)
-        .withColumn("has_bom", F.col("unread").isin(3, 3 + len(MARK)))
-        .withColumn("mark_at_end", F.col("unread") >= len(MARK))
-        .withColumn("last_split", F.lead("cut").over(by_split).isNull())
-        .withColumn("lone_bom", F.col("has_bom") & F.lit(not strip_bom))
-        .withColumn(
-            "tail_closes",
-            # Behind a BOM the first piece is not blank.
-            F.col("tail_closes")
-            & ~(F.col("lone_bom") & F.col("tail_bare") & (F.col("cut") == 0) & (F.col("n") == 1)),
-        )
-        .withColumn(
-            "head_opens",
-            F.col("head_opens")
-            | (F.col("last_split") & (F.col("n") == 1) & F.col("tail_bare") & ~F.col("mark_at_end")),
-        )
-        .withColumn(
-            "head_starts",
-            F.coalesce(F.lag("tail_closes").over(by_split) & F.col("head_opens"), F.lit(False)),
-        )
-        .withColumn(
-            "inner_starts",
-            F.when(
-                F.col("lone_bom") & F.col("head_bare"), F.col("inner_starts") - F.col("second_starts")
-            ).otherwise(F.col("inner_starts")),
-        )
-        .select(
-            "path",
-            "cut",
-            "n",
-            "lone_bom",
-            "mark_at_end",
-            "last_split",
-            "head_starts",
-            F.lead("head_starts").over(by_split).alias("next_head_starts"),
-            F.coalesce(
-                F.sum(F.col("inner_starts") + F.col("head_starts").cast("long")).over(earlier),
-                F.lit(0),
-            ).alias("starts_before"),
-        )
+    start = F.col("cut") == 0
+    files = splits.groupBy("path").agg(
+        F.max(F.when(start, F.col("first"))).alias("first"),
+        F.max("file_bytes").alias("file_bytes"),
+        (F.max("file_bytes") - F.sum("n_bytes") - len(CUT) * (F.sum("n") - 1)).alias("unread"),
+        (F.sum("strays") - F.count_if(start & ~F.col("first_opens"))).alias("strays"),
     )
+    return files.select(
+        "path",
+        "first",
+        "file_bytes",
+        F.col("unread").isin(3, 3 + len(CUT)).alias("has_bom"),
+        (F.col("strays") > 0).alias("has_strays"),
+        (F.col("unread") >= len(CUT)).alias("ends_with_mark"),
+    ).where("has_bom or has_strays or ends_with_mark")
 
-    first = (F.col("cut") == 0) & (F.col("nth") == 1)
-    last = F.col("last_split") & (F.col("nth") == F.col("n"))
-    placed = in_place(marked).join(edges, ["path", "cut"])
-    # Behind a BOM the blank first piece does not close, as seen by the second piece.
-    bom_before = F.col("lone_bom") & (F.col("cut") == 0) & (F.col("nth") == 2)
-    before_closes = F.col("before_closes") & ~(bom_before & F.lag("bare").over(in_split))
-    opens = F.col("opens") | (last & F.col("bare") & ~F.col("mark_at_end"))
-    placed = placed.withColumn(
-        "starts",
-        F.when(F.col("nth") == 1, F.col("head_starts")).otherwise(before_closes & opens),
-    )
-    closes_at_end = F.col("closes") & ~(F.col("lone_bom") & first & F.col("bare"))
-    text = F.concat(
-        F.when(F.col("lone_bom") & first, BOM).otherwise(""),
-        F.col("value"),
-        F.when(last & F.col("mark_at_end") & ~closes_at_end, MARK).otherwise(""),
+
+def _heads(pieces: DataFrame) -> DataFrame:
+    """``(path, cut, seq, head)`` of the pieces that stray marks tie together.
+
+    ``head`` is the place of the piece with which the text begins. Windows run over flags, within
+    one split and then over one row for each split of a file.
+    """
+    flags = pieces.select(*_PLACE, "opens")
+    in_split = Window.partitionBy("path", "cut").orderBy("seq")
+    own = F.last(F.when(F.col("opens"), F.col("seq")), ignorenulls=True).over(in_split)
+    ties = ~F.col("opens") | ~F.coalesce(F.lead("opens").over(in_split), F.lit(True))
+    last = F.lead("seq").over(in_split).isNull()
+    flags = flags.select(*_PLACE, "opens", own.alias("own"), ties.alias("ties"), last.alias("last"))
+
+    by_split = Window.partitionBy("path").orderBy("cut")
+    place = F.struct("cut", F.col("tail").alias("seq"))
+    splits = flags.groupBy("path", "cut").agg(
+        F.max("own").alias("tail"), F.min_by("opens", "seq").alias("first_opens")
     )
-    placed = placed.select(
+    before = by_split.rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(
         "path",
-        "seq",
-        (F.col("starts_before") + F.sum(F.col("starts").cast("int")).over(so_far))
-        .cast("int")
-        .alias("pos"),
-        (F.col("starts") | first).alias("begins"),
-        F.coalesce(F.lead("starts").over(in_split), "next_head_starts", F.lit(True)).alias("ends"),
-        text.alias("value"),
+        "cut",
+        F.last(F.when(F.col("tail").isNotNull(), place), ignorenulls=True).over(before).alias("earlier"),
+        F.coalesce(~F.lead("first_opens").over(by_split), F.lit(False)).alias("goes_on"),
     )
-    alone = F.col("begins") & F.col("ends")
-    single = placed.where(alone).select("path", "pos", F.col("value").alias("block"))
+    head = F.when(F.col("own").isNotNull(), F.struct("cut", F.col("own").alias("seq"))).otherwise(F.col("earlier"))
+    return (
+        flags.join(splits, ["path", "cut"])
+        .where(F.col("ties") | (F.col("last") & F.col("goes_on")))
+        .select(*_PLACE, head.alias("head"))
+    )
+
+
+def read_units(
+    spark: SparkSession,
+    paths: str | list[str],
+    recursive: bool = True,
+    strip_bom: bool = False,
+    files: Column | None = None,
+) -> DataFrame:
+    """``(path, cut, seq, value)``: texts that begin and end with whole blocks.
+
+    Bodies stay where they are scanned. Only pieces that stray marks tie together are brought
+    together, by a join with their places.
+    """
+    pieces = scan_pieces(spark, paths, recursive, files)
+    odd = written(_odd_files(pieces), "odd-files")
+    kinds = odd.agg(
+        *(F.bool_or(c).alias(c) for c in ("has_bom", "has_strays", "ends_with_mark"))
+    ).first()
+    units = pieces.select(*_PLACE, "value", "opens")
+    if kinds["ends_with_mark"]:  # the empty text behind it
+        last = odd.where("ends_with_mark").select("path", F.col("file_bytes").alias("cut"))
+        units = units.unionByName(
+            last.select("*", F.lit(0).cast("long").alias("seq"), F.lit("").alias("value"), F.lit(True).alias("opens"))
+        )
+    if not strip_bom:
+        starts = odd.where("has_bom").select("path", F.lit(0).alias("cut"), F.col("first").alias("seq"), F.lit(BOM).alias("bom"))
+        if kinds["has_bom"]:
+            units = units.join(broadcast_if_small(written(starts, "starts")), [*_PLACE], "left").select(
+                *_PLACE, F.concat(F.coalesce("bom", F.lit("")), "value").alias("value"), "opens"
+            )
+        # Of a file that holds nothing else the reader makes no row.
+        lone = F.col("_metadata.file_size") == len(BOM.encode())
+        lone = lone if files is None else lone & files
+        if not list_files(spark, paths, recursive, lone).isEmpty():
+            whole = _reader(spark, recursive).text(paths, wholetext=True).where(lone)
+            place = (file_path().alias("path"), F.lit(0).alias("cut"), F.lit(0).alias("seq"), "value", F.lit(True).alias("opens"))
+            units = units.unionByName(whole.select(*place).where(F.col("value") == BOM))
+    if not kinds["has_strays"]:
+        return units.drop("opens")
+    tied = odd.where("has_strays").select("path", "first")
+    tied = pieces.select(*_PLACE, "opens").join(broadcast_if_small(tied), "path")
+    first = (F.col("cut") == 0) & (F.col("seq") == F.col("first"))
+    heads = written(_heads(tied.withColumn("opens", F.col("opens") | first)), "tied-pieces")
+    units = units.join(broadcast_if_small(heads), [*_PLACE], "left")
+    # Both passes must see the same splits; a stray piece that the first one did not place says otherwise.
+    lost = F.col("head").isNull() & ~F.col("opens") & (F.col("cut") > 0)
+    sure = F.when(lost, F.raise_error(F.lit("the splits of a dump changed while it was read"))).otherwise(F.col("value"))
+    alone = units.where("head is null").select(*_PLACE, sure.alias("value"))
+    part = F.struct("cut", "seq", "value")
     joined = (
-        placed.where(~alone)
-        .groupBy("path", "pos")
-        .agg(F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("parts"))
-        .select("path", "pos", F.array_join("parts.value", MARK).alias("block"))
+        units.where("head is not null")
+        .groupBy("path", "head")
+        .agg(F.sort_array(F.collect_list(part)).alias("parts"))
+        .select("path", "head.cut", "head.seq", F.array_join("parts.value", CUT).alias("value"))
     )
-    return single.unionByName(joined)
+    return alone.unionByName(joined)
 
 
 def read_blocks(
     spark: SparkSession,
     paths: str | list[str],
     recursive: bool = True,
-    split_above: int | None = SPLIT_ABOVE,
     strip_bom: bool = False,
+    files: Column | None = None,
+    positions: bool = False,
 ) -> DataFrame:
-    """Blocks ``(path, pos, block)`` of all files, each read the way its size asks for.
+    """Blocks ``(path, cut, seq, inner, block)`` of all files.
 
-    The size is file metadata, so each branch opens its own files only, and the
-    second branch is left out of the plan when no file needs it.
-    ``split_above=None`` reads every file whole.
+    ``cut, seq, inner`` is the order of blocks in their file. ``positions`` adds ``pos``, which counts them
+    from 0; that takes a second narrow pass, and a join with the place of every text.
+    ``files`` is a condition on ``file_path()``; other files are not opened.
     """
-    if split_above is None:
-        return split_blocks(scan_dumps(spark, paths, recursive, strip_bom))
-    large = scan_pieces(spark, paths, recursive).where(F.col("file_bytes") > split_above)
-    if large.select("path").isEmpty():
-        return split_blocks(scan_dumps(spark, paths, recursive, strip_bom))
-    small = scan_dumps(spark, paths, recursive, strip_bom, F.col("_metadata.file_size") <= split_above)
-    return split_blocks(small).unionByName(blocks_of_pieces(large, strip_bom))
+    units = read_units(spark, paths, recursive, strip_bom, files)
+    parts = F.split(_text(F.col("value")), DELIMITER_LINE)
+    if not positions:
+        return units.select(*_PLACE, F.posexplode(parts).alias("inner", "block"))
+    in_split = Window.partitionBy("path", "cut").orderBy("seq")
+    sizes = units.select(*_PLACE, F.size(parts).alias("n"))
+    sizes = sizes.withColumn("upto", F.sum("n").over(in_split))
+    splits = sizes.groupBy("path", "cut").agg(F.sum("n").alias("total"))
+    earlier = Window.partitionBy("path").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("path", "cut", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
+    places = sizes.join(splits, ["path", "cut"]).select(*_PLACE, (F.col("before") + F.col("upto") - F.col("n")).alias("base"))
+    placed = units.join(broadcast_if_small(written(places, "places")), [*_PLACE])
+    blocks = placed.select(*_PLACE, "base", F.posexplode(parts).alias("inner", "block"))
+    return blocks.withColumn("pos", (F.col("base") + F.col("inner")).cast("int")).drop("base")
+
+
+def count_blocks(blocks: DataFrame) -> DataFrame:
+    """``(path, n_blocks, n_articles)``: blocks of every file, and those that have a body."""
+    return (
+        blocks.select("path", has_body(F.col("block")).alias("_body"))
+        .groupBy("path")
+        .agg(F.count("*").alias("n_blocks"), F.count_if("_body").alias("n_articles"))
+    )
 
 
 def read_articles(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
-    """Parsed articles with ``path`` and ``pos`` (see ``read_blocks`` for the options)."""
-    blocks = read_blocks(spark, paths, **options)
-    if blocks.select("path").isEmpty():
+    """Parsed articles with their place (see ``read_blocks`` for the options)."""
+    if list_files(spark, paths, options.get("recursive", True)).isEmpty():
         raise FileNotFoundError(f"no .txt files found in {paths}")
-    return parse_blocks(blocks)
+    return parse_blocks(read_blocks(spark, paths, **options))
 
 
 def load_dumps(
@@ -267,17 +299,17 @@ def load_categories(
     include_title: bool = False,
     default_source: str | None = None,
     fallback: bool = True,
-    split_above: int | None = SPLIT_ABOVE,
 ) -> DataFrame:
     """Corpus rows of a folder with one subfolder per category.
 
     Only files directly in a subfolder count. With ``fallback``, a base folder
     without any subfolder is a category itself. ``exclude=None`` leaves out the default
     categories, an empty set none. Excluded folders are never opened: the category
-    comes from file metadata, which Spark evaluates when it lists the files.
+    comes from the file's path, which Spark looks at when it lists the files.
     """
     excluded = DEFAULT_EXCLUDED_CATEGORIES if exclude is None else tuple(exclude)
-    options = {"recursive": False, "split_above": split_above}
+    category = meta.folder_of(file_path())
+    options = {"recursive": False, "files": ~category.isin(*excluded) if excluded else None}
     try:
         blocks = read_blocks(spark, f"{base}/*/*.txt", **options)
     except AnalysisException as error:
@@ -292,11 +324,9 @@ def load_categories(
                     raise
     if blocks is None:
         raise FileNotFoundError(f"no .txt files in the category folders of {base}")
-    category = meta.folder_of(F.col("path"))
-    blocks = blocks.withColumn("category", category)
-    if excluded:
-        blocks = blocks.where(~F.col("category").isin(*excluded))
+    blocks = blocks.withColumn("category", meta.folder_of(F.col("path")))
     articles = parse_blocks(blocks)
+    # Stops at the first article; no row is exchanged for it.
     if articles.select("path").isEmpty():
         raise FileNotFoundError(f"no articles in the category folders of {base}")
     return corpus_rows(articles, label, include_title, default_source)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import csv
-import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,7 +12,8 @@ from ..functions import metadata as meta
 from ..functions.fixed import CSV_NULLS
 from ..operators.articles import corpus_rows, parse_blocks
 from ..operators.filters import complete, require_columns
-from .dumps import SPLIT_ABOVE, read_blocks
+from ..session import broadcast_if_small, stored
+from .dumps import PLACE, count_blocks, file_path, list_files, read_blocks
 
 # Quoted cells may hold line ends, and a quote inside is doubled.
 CSV_FORMAT = {
@@ -27,76 +27,40 @@ CSV_FORMAT = {
 INTEGERS = ("label", "year")
 
 
-def _first_row(batches):
-    for batch in batches:
-        if len(batch):
-            yield batch.head(1)
-            return
+# A quoted cell, in which a comma is text.
+_QUOTED = r'"(?:[^"]|"")*"'
+_ROW_BITS = 33
 
 
-def csv_headers(
-    spark: SparkSession, paths: str | list[str], recursive: bool = False
-) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header line.
+def _csv_reader(spark: SparkSession, recursive: bool):
+    reader = spark.read.option("pathGlobFilter", "*.csv")
+    return reader.option("recursiveFileLookup", "true") if recursive else reader
 
-    One task per file reads the file's first lines and stops. In a session of its
-    own, no two files share a task and no file is cut, which makes the first row of
-    a partition the first line of a file. What comes back is one line per file.
+
+def csv_headers(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> DataFrame:
+    """``(path, header)``: the column names of every file that has a first line. Stored.
+
+    In a session of its own no two files share a task, so the first row of the task
+    that reads a file's beginning is its header; nothing is sorted, shuffled or brought to the driver
+    but the greatest number of columns.
     """
     own = spark.newSession()
     own.conf.set(
         "spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
     )
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    reader = own.read.schema("line string").option("pathGlobFilter", "*.csv")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    scan = reader.csv(paths, sep="\x01", quote="", multiLine=True, header=False)
-    found = (
-        scan.select(F.col("_metadata.file_path").alias("path"), "line")
-        .mapInPandas(_first_row, "path string, line string")
-        .select(meta.decoded_path(F.col("path")).alias("path"), "line")
-    )
-    headers: dict[tuple[str, ...], list[str]] = {}
-    for path, line in sorted(tuple(row) for row in found.collect()):
-        names = tuple(next(csv.reader([line.lstrip(chr(0xFEFF))])))
-        headers.setdefault(names, []).append(path)
-    return headers
-
-
-def _literal_path(path: str) -> str:
-    """A path in which nothing is taken for a pattern."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
-def _cells(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    """All rows of files with one header, as strings, with their file and order in it.
-
-    A row with too few cells is filled up with nulls. One more cell than the header has is
-    asked for, so that a row with too many is seen; it raises.
-    """
-    surplus = max(["surplus", *(name + "_" for name in header)], key=len)
-    names = [f"`{name.replace('`', '``')}` string" for name in (*header, surplus)]
-    scan = (
-        spark.read.options(**CSV_FORMAT)
-        .schema(", ".join(names))
-        .csv([_literal_path(p) for p in paths], multiLine=True, mode="PERMISSIVE")
-    )
-    too_long = F.concat(F.lit("more cells than columns in "), F.col("_metadata.file_path"))
-    fits = F.when(F.col(f"`{surplus.replace('`', '``')}`").isNull(), True).otherwise(
-        F.raise_error(too_long).cast("boolean")
-    )
-    scan = scan.where(fits)
-
-    def cell(name: str) -> Column:
-        value = F.col(f"`{name}`")
-        return F.when(~value.isin(*CSV_NULLS), value).alias(name)
-
-    return scan.select(
-        meta.decoded_path(F.col("_metadata.file_path")).alias("path"),
-        F.monotonically_increasing_id().alias("pos"),
-        *(cell(name) for name in header),
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    lines = _csv_reader(own, recursive).text(paths).select(
+        file_path().alias("path"), F.col("_metadata.file_block_start").alias("cut"), row.alias("row"), "value"
     )
+    first = lines.where("cut = 0 and row = 0").select("path", F.col("value").alias("line"))
+    bare = F.regexp_replace("line", _QUOTED, "")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    first = stored(spark, first.withColumn("n", cells), "csv-headers")
+    width = first.agg(F.max("n")).first()[0] or 1
+    # The reader of one line as a table of that many columns.
+    parsed = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)), CSV_FORMAT | {"header": "false"})
+    names = F.array(*(F.coalesce(parsed[f"c{i}"], F.lit(f"_c{i}")) for i in range(width)))
+    return first.select("path", F.slice(names, 1, F.col("n")).alias("header"))
 
 
 def read_csv(
@@ -105,49 +69,70 @@ def read_csv(
     recursive: bool = False,
     year_from_name: bool = False,
 ) -> DataFrame:
-    """CSV files of any mix of headers, joined by column name.
+    """CSV files of any mix of headers, joined by column name, with ``path`` and ``pos``.
 
     ``label`` and ``year`` become integers, all else stays text. With
     ``year_from_name`` a file without a ``year`` column gets the number before the
     first underscore of its name; a null year in a file that has one stays null.
+    A row with too few cells is filled up with nulls, one with too many raises.
 
-    Cells may hold line ends (a CRLF is read as LF where rows end in CRLF too), so a
-    CSV file cannot be cut: each is read by one task.
-    Large corpora should be stored as Parquet.
+    Files are read by place, in one scan; rows learn their file's header by its name. Cells may hold line
+    ends (a CRLF is read as LF where rows end in CRLF too), so a CSV file cannot be cut: each is
+    read by one task. Large corpora should be stored as Parquet.
     """
-    frames = []
-    for header, files in csv_headers(spark, paths, recursive).items():
-        frame = _cells(spark, header, files)
-        for name in INTEGERS:
-            if name in header:
-                frame = frame.withColumn(name, meta.as_int(F.col(name)))
-        if year_from_name and "year" not in header:
-            prefix = F.split(meta.stem_of(F.col("path")), "_")[0]
-            frame = frame.withColumn("year", prefix.try_cast("int"))
-        frames.append(frame)
-    if not frames:
+    headers = csv_headers(spark, paths, recursive)
+    kinds = sorted(tuple(r.header) for r in headers.select("header").distinct().collect())
+    if not kinds:
         raise FileNotFoundError(f"no .csv files found in {paths}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    width = max(map(len, kinds)) + 1  # one more, to see cells that have no column
+    number = F.coalesce(
+        *(F.when(F.col("header") == F.array(*map(F.lit, kind)), F.lit(i)) for i, kind in enumerate(kinds))
+    )
+    headers = headers.select("path", number.alias("_kind"))
+    scan = (
+        _csv_reader(spark, recursive)
+        .options(**CSV_FORMAT)
+        .schema(", ".join(f"_c{i} string" for i in range(width)))
+        .csv(paths, multiLine=True, mode="PERMISSIVE")
+    )
+    rows = scan.select(
+        file_path().alias("path"), F.monotonically_increasing_id().alias("pos"), *scan.columns
+    ).join(broadcast_if_small(headers), "path")
+    kind = F.col("_kind")
+
+    def of_kind(value: Callable[[tuple[str, ...]], Column | None]) -> Column:
+        found = [(i, value(names)) for i, names in enumerate(kinds)]
+        return F.coalesce(*(F.when(kind == i, v) for i, v in found if v is not None), F.lit(None))
+
+    surplus = of_kind(lambda names: F.coalesce(*(f"_c{i}" for i in range(len(names), width))))
+    too_long = F.raise_error(F.concat(F.lit("more cells than columns in "), F.col("path"))).cast("boolean")
+    rows = rows.where(F.when(surplus.isNull(), True).otherwise(too_long))
+
+    def cell(name: str) -> Column:
+        value = of_kind(lambda names: F.col(f"_c{names.index(name)}") if name in names else None)
+        value = F.when(~value.isin(*CSV_NULLS), value)
+        return meta.as_int(value) if name in INTEGERS else value
+
+    columns = {name: cell(name) for kind_ in kinds for name in kind_}
+    if year_from_name:
+        prefix = F.split(meta.stem_of(F.col("path")), "_")[0].try_cast("int")
+        given = [i for i, names in enumerate(kinds) if "year" in names]
+        columns["year"] = F.when(kind.isin(*given), columns["year"]).otherwise(prefix) if given else prefix
+    return rows.select("path", "pos", *(c.alias(name) for name, c in columns.items()))
 
 
 def unlabelled_dumps(spark: SparkSession, folder: str) -> DataFrame:
-    """Dumps whose name tells no class, from the file listing alone."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.txt")
-        .load(folder)
-        .select("path")
-    )
-    return files.where(meta.label_from_stem(meta.stem_of(F.col("path"))).isNull())
+    """``(path, n_bytes)`` of dumps whose name tells no class, from the file listing alone."""
+    label = meta.label_from_stem(meta.stem_of(F.col("path")))
+    return list_files(spark, folder).where(label.isNull())
 
 
-def read_mixed(
-    spark: SparkSession,
-    folder: str,
-    txt_label: int | None = None,
-    split_above: int | None = SPLIT_ABOVE,
-) -> DataFrame:
+def _place(*numbers: str) -> Column:
+    """A text that sorts like the numbers."""
+    return F.concat_ws(".", *(F.lpad(F.col(n).cast("string"), 20, "0") for n in numbers))
+
+
+def read_mixed(spark: SparkSession, folder: str, txt_label: int | None = None) -> DataFrame:
     """All CSV tables and dumps below a folder as one corpus.
 
     The class of a dump is ``txt_label`` or told by its file name; other dumps are
@@ -156,25 +141,52 @@ def read_mixed(
     """
     frames = []
     try:
-        tables = read_csv(spark, folder, recursive=True)
+        tables = read_csv(spark, folder, recursive=True).withColumn("pos", _place("pos"))
         frames.append(tables.withColumn("kind", F.lit(0)))
     except FileNotFoundError:
         pass
-    blocks = read_blocks(spark, folder, split_above=split_above)
-    label = meta.label_from_stem(meta.stem_of(F.col("path")))
-    if txt_label is not None:
-        label = F.lit(txt_label)
-    blocks = blocks.withColumn("_label", label).where(F.col("_label").isNotNull())
-    if not blocks.select("path").isEmpty():
-        rows = corpus_rows(parse_blocks(blocks), F.col("_label")).drop("_label")
-        rows = rows.withColumn("kind", F.lit(1)).withColumn("pos", F.col("pos").cast("long"))
-        frames.append(rows)
+    files = list_files(spark, folder)
+
+    def label(path: Column) -> Column:
+        return F.lit(txt_label) if txt_label is not None else meta.label_from_stem(meta.stem_of(path))
+
+    if not files.where(label(F.col("path")).isNotNull()).isEmpty():
+        named = None if txt_label is not None else label(file_path()).isNotNull()
+        articles = parse_blocks(read_blocks(spark, folder, files=named))
+        rows = corpus_rows(articles, label(F.col("path")))
+        frames.append(rows.select("*", _place(*PLACE).alias("pos"), F.lit(1).alias("kind")).drop(*PLACE))
     if not frames:
         raise FileNotFoundError(f"no CSV tables or labelled dumps found in {folder}")
     corpus = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return require_columns(corpus, "text", "label")
 
 
+def file_counts(spark: SparkSession, folder: str, txt_label: int | None = None) -> DataFrame:
+    """``(path, kind, n_blocks, n_articles, n_rows)`` of every file that ``read_mixed`` takes.
+
+    Blocks and articles of dumps, rows of CSV tables (null for the other kind); an empty dump is one
+    empty block. One narrow pass, combined in the tasks: one row for each file and task is shuffled.
+    """
+    none = F.lit(None).cast("long")
+    frames = []
+    try:
+        rows = read_csv(spark, folder, recursive=True).groupBy("path").agg(F.count("*").alias("n_rows"))
+        found = list_files(spark, folder, suffix="csv").join(rows, "path", "left")
+        frames.append(found.select("path", F.lit("csv").alias("kind"), none.alias("n_blocks"),
+                                   none.alias("n_articles"), F.coalesce("n_rows", F.lit(0)).alias("n_rows")))
+    except FileNotFoundError:
+        pass
+    label = None if txt_label is not None else meta.label_from_stem(meta.stem_of(file_path())).isNotNull()
+    listed = list_files(spark, folder, files=label)
+    if not listed.isEmpty():
+        found = listed.join(count_blocks(read_blocks(spark, folder, files=label)), "path", "left")
+        frames.append(found.select("path", F.lit("dump").alias("kind"), F.coalesce("n_blocks", F.lit(1)).alias("n_blocks"),
+                                   F.coalesce("n_articles", F.lit(0)).alias("n_articles"), none.alias("n_rows")))
+    if not frames:
+        raise FileNotFoundError(f"no CSV tables or labelled dumps found in {folder}")
+    return reduce(DataFrame.unionByName, frames)
+
+
 SPLITS = ("train", "val", "test")
 
 

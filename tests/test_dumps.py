@@ -6,8 +6,8 @@ import random
 import pytest
 
 from pressmill.functions.fixed import HEADER_KEYS, NOT_AVAILABLE
-from pressmill.operators.articles import corpus_rows
-from pressmill.sources.dumps import load_categories, load_dumps, read_articles, read_blocks
+from pressmill.operators.articles import corpus_rows, split_blocks
+from pressmill.sources.dumps import file_path, load_categories, load_dumps, read_articles, read_blocks, scan_dumps
 
 
 def put(folder, name, text):
@@ -101,26 +101,72 @@ def by_file(df):
 
 def test_whole_files_give_the_blocks(spark, dump_folder):
     folder, dumps = dump_folder
-    found = by_file(read_blocks(spark, folder, split_above=None))
+    found = by_file(split_blocks(scan_dumps(spark, folder)))
     for i, raw in enumerate(dumps):
         if raw:
             want = expected_blocks(raw)
             assert [found[i][p] for p in range(len(want))] == want, raw
 
 
-@pytest.mark.parametrize("split_bytes", ["16", "134217728"])
-def test_split_files_give_the_same_articles(spark, dump_folder, split_bytes):
-    """The same blocks at the same positions, however small the splits are."""
+@pytest.fixture()
+def split_bytes(spark):
+    """Sets the size of splits and puts the old one back."""
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    yield lambda size: spark.conf.set(key, size)
+    spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("size", ["16", "134217728"])
+@pytest.mark.parametrize("most", [0, 1 << 18])
+def test_split_files_give_the_same_articles(spark, dump_folder, split_bytes, monkeypatch, size, most):
+    """The same blocks at the same positions, however small the splits are, with and without broadcasts."""
+    from pressmill.sources import dumps as module
+
     folder, dumps = dump_folder
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
-    try:
-        found = by_file(read_blocks(spark, folder, split_above=3))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    split_bytes(size)
+    small = module.broadcast_if_small
+    monkeypatch.setattr(module, "broadcast_if_small", lambda table: small(table, most))
+    found = by_file(read_blocks(spark, folder, positions=True))
     for i, raw in enumerate(dumps):
         want = {p: b for p, b in enumerate(expected_blocks(raw)) if b}
         assert {p: b for p, b in found.get(i, {}).items() if b} == want, (i, raw)
+    ordered = {}
+    for path, *place, block in rows(read_blocks(spark, folder), "path", "cut", "seq", "inner", "block"):
+        ordered.setdefault(int(os.path.basename(path)[:4]), []).append((place, block.strip()))
+    for i, raw in enumerate(dumps):
+        assert [b for _, b in sorted(ordered.get(i, [])) if b] == [b for b in expected_blocks(raw) if b], (i, raw)
+
+
+def scanned_files(df):
+    """Files that the scans of a finished plan have opened."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.metrics().contains("numFiles"):
+            found += node.metrics().apply("numFiles").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_ruled_out_files_are_not_opened(spark, folder, split_bytes):
+    for i in range(6):
+        put(folder, f"{'avaz_ai' if i < 2 else 'avaz'}{i}/x{'_ai' if i < 2 else ''}.txt", f"<***>\nNASLOV: a\n\ntijelo {i}" * 5)
+    split_bytes("16")
+    kept = read_blocks(spark, folder, files=file_path().like("%\\_ai.txt"))
+    assert kept.count() > 2
+    assert len(kept.collect()) and scanned_files(kept) == 2
+
+
+def test_plain_dumps_are_read_without_a_shuffle(spark, folder, capsys):
+    for i in range(4):
+        put(folder, f"{i}.txt", "<***>\r\nNASLOV: a\r\n\r\ntijelo\r\n <***>\nNASLOV: b\n\ndrugo <***> tu\n" * 50)
+    articles = load_dumps(spark, folder, 0)
+    articles.explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Join" not in plan
+    assert articles.count() == 400
 
 
 def test_articles(spark, dump_folder):
@@ -158,11 +204,10 @@ def test_no_files(spark, folder):
 
 def test_bom_is_kept_unless_asked(spark, folder):
     put(folder, "a.txt", b"\xef\xbb\xbf<***>\nNOVINA: A\n\ntijelo")
-    for split_above in (None, 3):
-        kept = load_dumps(spark, folder, 0, split_above=split_above).first()
-        assert kept.source == "unknown" and kept.text.startswith("﻿<***>")
-        read = load_dumps(spark, folder, 0, split_above=split_above, strip_bom=True).first()
-        assert (read.source, read.text) == ("a", "tijelo")
+    kept = load_dumps(spark, folder, 0).first()
+    assert kept.source == "unknown" and kept.text.startswith(chr(0xFEFF) + "<***>")
+    read = load_dumps(spark, folder, 0, strip_bom=True).first()
+    assert (read.source, read.text) == ("a", "tijelo")
 
 
 def test_categories(spark, folder):

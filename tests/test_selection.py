@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from pressmill.operators import counters, filters
+from pressmill.operators import counters, filters, sampling
 from pressmill.operators.dedup import keep_first
 from pressmill.operators.sampling import (
     Order, balance, shuffle_rank, shuffled, split_sizes, stratified_split,
@@ -82,6 +82,36 @@ def test_shuffle(skewed):
     assert [r.article_id for r in shuffled(skewed, 42).limit(20).collect()] == ids[:20]
 
 
+@pytest.mark.parametrize("ranked", [1, 7, 400])
+def test_deeper_prefixes_change_nothing(spark, skewed, monkeypatch, ranked):
+    """Prefixes are divided until few rows are left; the rows stay the same."""
+    want = (
+        sorted(balance(skewed, 42).collect()),
+        sorted(stratified_split(skewed, 3).collect()),
+        sorted(shuffle_rank(skewed, 42).collect()),
+    )
+    monkeypatch.setattr(sampling, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(sampling, "RANKED", ranked)
+    monkeypatch.setattr(sampling, "RANKED_IN_TASK", ranked)
+    got = (
+        sorted(balance(skewed, 42).collect()),
+        sorted(stratified_split(skewed, 3).collect()),
+        sorted(shuffle_rank(skewed, 42).collect()),
+    )
+    assert got == want
+
+
+def test_repeated_keys_do_not_pile_up(spark, monkeypatch):
+    """All copies of a key have one hash; they are counted, not gathered."""
+    monkeypatch.setattr(sampling, "RANKED", 2)
+    rows = [(7, 0)] * 50 + [(i, 0) for i in range(50)] + [(i, 1) for i in range(100, 140)]
+    df = spark.createDataFrame(rows, "article_id long, label int")
+    got = balance(df, 1)
+    keys = sorted([7] * 50 + list(range(50)), key=lambda i: place(1, "b", i))
+    assert {r.article_id for r in got.where("label = 0").collect()} == set(keys[:40])
+    assert got.where("label = 1").count() == 40
+
+
 def test_rank_bins_cover_the_class(skewed):
     histogram = Order(42, "b", "article_id").histogram(skewed)
     assert {k: sum(n for _, n in bins) for k, bins in histogram.items()} == {0: 4500, 1: 500}
@@ -94,6 +124,35 @@ def test_keep_first(spark):
     assert [tuple(r) for r in kept] == [(1, None), (3, "a"), (4, "b")]
 
 
+def body_exchanges(df, columns=("text",)):
+    """Exchanges of the plan whose rows hold a body."""
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        found += "Exchange" in node.nodeName() and any(c in names for c in columns)
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_bodies_stay_where_they_are(spark):
+    """One cleaning, no body in an exchange, also where Spark would not broadcast."""
+    rows = [(i, f"{'riječ ' * 40} broj {i // 2}", i % 3 % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "article_id long, text string, label int").repartition(3)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        for result in (keep_first(df, "article_id"), prepare(df)):
+            assert body_exchanges(result) == 0
+            plan = result._jdf.queryExecution().executedPlan().toString()
+            assert "regexp_replace" not in plan and plan.count("FileScan") <= 2
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_hot_text(spark):
     """A third of all rows are copies of one text."""
     df = spark.range(30_000).select(

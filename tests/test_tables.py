@@ -64,8 +64,37 @@ def test_headers_come_from_the_first_line_only(spark, folder):
     rows = [[f"text {i}", "1"] for i in range(20_000)]
     put_csv(folder, "big.csv", ["text", "label"], *rows)
     put_csv(folder, "same.csv", ["text", "label"], ["x", "0"])
-    headers = tables.csv_headers(spark, folder)
-    assert {k: len(v) for k, v in headers.items()} == {("text", "label"): 2}
+    put_csv(folder, "c,d.csv", ["a, b", 'say "x"', "", "label"], ["x", "0", "", "1"])
+    put(folder, "empty.csv", b"")
+    headers = {os.path.basename(r.path): r.header for r in tables.csv_headers(spark, folder).collect()}
+    assert headers == {"big.csv": ["text", "label"], "same.csv": ["text", "label"],
+                       "c,d.csv": ["a, b", 'say "x"', "_c2", "label"]}
+
+
+def test_csv_rows_meet_their_header_without_broadcast_too(spark, folder, monkeypatch):
+    small = tables.broadcast_if_small
+    monkeypatch.setattr(tables, "broadcast_if_small", lambda table: small(table, 0))
+    for i in range(12):
+        put_csv(folder, f"{i}.csv", ["text", "label"][:: 1 if i % 2 else -1], [f"t{i}", "7"][:: 1 if i % 2 else -1])
+    got = tables.read_csv(spark, folder)
+    assert sorted((r.text, r.label) for r in got.collect()) == sorted((f"t{i}", 7) for i in range(12))
+
+
+def test_csv_files_are_sized_by_bytes(spark, folder, monkeypatch):
+    monkeypatch.setattr(sinks.rows_per_file, "__defaults__", (20_000,))
+    rows = [(i, "kratko" if i < 500 else "dugo, " * 200) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, text string").repartitionByRange(2, "id")
+    sinks.write_corpus(df, f"{folder}/out", "csv")
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{folder}/out/*.csv")]
+    assert len(sizes) > 5 and max(sizes) < 25_000
+    assert tables.read_csv(spark, f"{folder}/out").count() == 600
+
+
+@pytest.mark.parametrize("widths, rows", [
+    ([9] * 5000, 1024), ([9] * 100 + [15_000] + [9] * 3000, 128), ([5_000] * 50, 3), ([50_000] * 3, 1), ([9], 1 << 20)])
+def test_rows_of_a_csv_file(spark, widths, rows):
+    df = spark.createDataFrame([("x" * w,) for w in widths], "text string").coalesce(1)
+    assert sinks.rows_per_file(df, 20_000) == rows
 
 
 def test_year_from_file_name(spark, folder):
@@ -129,7 +158,13 @@ def test_prepare_dataset(spark, folder, fmt):
     assert len(splits) == 60 and len({r.text for r in splits}) == 60
     # The copy loaded first kept its class: the CSV row, not the dump's.
     assert all(r.label == (0 if r.text.startswith("ljudski") else 1) for r in splits)
-    again = prepare_dataset(spark, source, f"{folder}/again", fmt=fmt, split_above=3)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "512")
+    try:
+        again = prepare_dataset(spark, source, f"{folder}/again", fmt=fmt)
+    finally:
+        spark.conf.set(key, before)
     other = tables.read_splits(spark, f"{folder}/again/splits", fmt).collect()
     assert again == stats and sorted(other) == sorted(splits)
 
