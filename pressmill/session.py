@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,24 @@ def local_session(cpus: int | str = "*", app: str = "pressmill", **conf: str) ->
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of an application, once.
+
+    Functions that run in workers are sent by name. Workers of a driver that found the package by its own
+    path only, as one started from another folder, would not find it.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="pressmill-"), "pressmill")
+        archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
