@@ -20,7 +20,7 @@ document; each document emits the signatures for every number a partner may use
 Steps: (1) count every token over all documents; (2) emit signatures; tokens of one document
 only count for the prefix but are not emitted; (3) ``STARS`` times, compare all members of a signature with one
 of them, the one with the most links so far, and contract links to components; (4) compare
-whatever pairs of a signature are in different components still. Before sets are compared, sizes and 512 parity bits a class
+whatever pairs of a signature are in different components still, each at the first signature it shares. Before sets are compared, sizes and 512 parity bits a class
 rule out pairs that differ in too many tokens. Pairs inside one component cannot change the result, so a
 group of near copies costs its members, not their pairs.
 
@@ -171,20 +171,24 @@ def prefix_signatures(tokens, repeated, frequent, num: int, den: int) -> np.ndar
     return np.unique(np.concatenate(out))
 
 
+def _name(tokens: np.ndarray) -> int:
+    """The class of a set: a hash of all its tokens."""
+    return int(mix(np.array([mix(tokens).sum() + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
+
+
 def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
-    """(doc, text) -> (doc, n, cls, parities, sigs); signatures come once a class and task."""
+    """(key, anon, text) -> (key, anon, n, cls, parities, sigs); signatures come once a class and task."""
     shift, seven, one = np.uint64(64 - flag_bits), np.uint64(7), np.uint8(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = [np.frombuffer(m, np.uint8) for m in maps.value]
         seen: set[int] = set()
         for batch in batches:
-            docs = batch.column(0)
-            for lo, hi, words in slices(batch.column(1)):
+            for lo, hi, words in slices(batch.column(2)):
                 size, cls, sigs, parity = [], [], [], []
                 for tokens in shingles(word_hashes(words, lower), words.first, n):
                     size.append(len(tokens))
-                    name = int(mix(np.array([mix(tokens).sum() + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
+                    name = _name(tokens)
                     cls.append(name if len(tokens) else None)
                     odd = np.bincount((tokens >> np.uint64(3)) % np.uint64(64 * PARITIES), minlength=64 * PARITIES) & 1
                     parity.append(np.packbits(odd.astype(bool), bitorder="little").view(np.int64))
@@ -199,9 +203,9 @@ def _signed(n: int, lower: bool, num: int, den: int, maps, flag_bits: int):
                     own = prefix_signatures(tokens, marked[0], marked[-1], num, den)
                     sigs.append(own.view(np.int64) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [docs.slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()),
+                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()),
                      *[pa.array(p, pa.int64()) for p in zip(*parity)], pa.array(sigs, pa.list_(pa.int64()))],
-                    ["doc", "n", "cls", *_PARITY, "sigs"])
+                    ["key", "anon", "n", "cls", *_PARITY, "sigs"])
 
     return run
 
@@ -222,12 +226,21 @@ def _verified(num: int, den: int):
 
 
 def _sets(n: int, lower: bool):
+    """(cls, text) -> the sets of texts that are of the class, once a class and task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for lo, hi, words in slices(batch.column(1)):
-                sets = [s.tobytes() for s in shingles(word_hashes(words, lower), words.first, n)]
+                out = []
+                for cls, tokens in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), shingles(word_hashes(words, lower), words.first, n)):
+                    # Rows of one id may hold different texts.
+                    if cls not in seen and _name(tokens) == cls:
+                        out.append((cls, tokens.tobytes()))
+                        if len(seen) < 1_000_000:
+                            seen.add(cls)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], ["cls", "tokens"])
+                    [pa.array([c for c, _ in out], pa.int64()), pa.array([t for _, t in out], pa.binary())], ["cls", "tokens"])
 
     return run
 
@@ -251,9 +264,9 @@ def _links(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, lower:
     """
     pairs = written(pairs, "pairs")
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    asked = written(owners.join(asked, "cls").select("cls", F.col("least").alias("doc")), "asked")
-    texts = docs.join(small_enough(asked), "doc")
-    sets = written(texts.select("cls", "text").mapInArrow(_sets(n, lower), "cls long, tokens binary"), "sets")
+    asked = written(owners.join(asked, "cls").select("cls", "owner.anon", "owner.key"), "asked")
+    texts = docs.join(small_enough(asked), ["anon", "key"]).select("cls", "text")
+    sets = written(texts.mapInArrow(_sets(n, lower), "cls long, tokens binary").dropDuplicates(["cls"]), "sets")
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b"
     )
@@ -261,9 +274,15 @@ def _links(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, lower:
 
 
 def _mixed(entries: DataFrame) -> DataFrame:
-    """The entries of signatures with more than one component."""
+    """The entries of signatures with more than one component; of signatures of the same classes, one.
+
+    Near copies share most of their signatures, so many signatures have the very same classes.
+    """
     entries = written(entries, "entries")
-    several = entries.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    several = entries.groupBy("sig").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("c"),
+        F.bit_xor(F.xxhash64("cls")).alias("f"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("g")).where("x < y")
+    several = several.groupBy("c", "f", "g").agg(F.min("sig").alias("sig"))
     return written(entries.join(several.select("sig"), "sig", "left_semi"), "mixed")
 
 
@@ -289,14 +308,17 @@ def jaccard_components(
     """
     if not 2 * num > den >= num > 0:
         raise ValueError("the similarity must be above one half and at most one")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    own = F.col(id_col).cast("long")
+    # A row without an id is found again by its text.
+    docs = docs.select(F.coalesce(own, F.xxhash64(text_col)).alias("key"), own.isNull().alias("anon"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
     maps = spark.sparkContext.broadcast(token_flags(docs, "text", n, lower, frequent, flag_bits))
     signed = written(
         docs.mapInArrow(_signed(n, lower, num, den, maps, flag_bits),
-                        f"doc long, n long, cls long, {', '.join(f'{p} long' for p in _PARITY)}, sigs array<long>"),
+                        f"key long, anon boolean, n long, cls long, {', '.join(f'{p} long' for p in _PARITY)}, sigs array<long>"),
         "signed",
     )
+    maps.destroy()
     entries = written(
         signed.where("sigs is not null").select(F.explode("sigs").alias("sig"), "cls").distinct(),
         "signatures",
@@ -308,7 +330,8 @@ def jaccard_components(
     known = written(known, "known")
     its = known.select(F.col("cls").alias("lead"), F.col("n").alias("m"), *[F.col(p).alias(q) for p, q in other.items()])
     owners = written(
-        signed.where("cls is not null").groupBy("cls").agg(F.min("doc").alias("least")), "owners")
+        signed.where("cls is not null").groupBy("cls").agg(
+            F.min(F.struct("anon", "key")).alias("owner"), F.min(F.when(~F.col("anon"), F.col("key"))).alias("least")), "owners")
     # Entries of signatures whose classes are not all in one component yet.
     open_ = _mixed(entries.select("sig", "cls", F.col("cls").alias("component"), F.lit(0).cast("long").alias("degree")))
     links, found = None, None
@@ -324,14 +347,16 @@ def jaccard_components(
         open_ = _mixed(
             open_.select("sig", "cls").join(found.withColumnRenamed("id", "cls"), "cls", "left").join(degrees, "cls", "left")
             .select("sig", "cls", F.coalesce("component", "cls").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")))
-    left = written(open_.join(known, "cls").select("sig", "cls", "component", "n", *_PARITY), "open")
-    right = left.select("sig", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
-                        *[F.col(p).alias(q) for p, q in other.items()])
-    rest = (
-        left.withColumnRenamed("cls", "a").join(
-            right, (left["sig"] == right["sig"]) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & bound)
-        .select("a", "b").distinct()
-    )
+    # A pair is compared where it meets first, not at every signature that it shares.
+    lists = open_.groupBy("cls").agg(F.collect_list("sig").alias("all"))
+    left = open_.join(known, "cls").join(lists, "cls").select("sig", "cls", "component", "n", *_PARITY, "all")
+    left = written(left, "open")
+    right = left.select(F.col("sig").alias("same"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
+                        F.col("all").alias("every"), *[F.col(p).alias(q) for p, q in other.items()])
+    meets_first = F.array_min(F.array_intersect("all", "every")) == F.col("sig")
+    rest = left.withColumnRenamed("cls", "a").join(
+        right, (F.col("sig") == F.col("same")) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("other"))
+        & bound & meets_first).select("a", "b")
     more = _links(rest, docs, owners, n, lower, num, den)
     found = components(links.union(more))
     owners = written(
@@ -341,10 +366,11 @@ def jaccard_components(
     )
     smallest = owners.groupBy("component").agg(F.min("least").alias("smallest"))
     classes = owners.join(smallest, "component").select("cls", "smallest")
-    return signed.select("doc", "n", "cls").join(classes, "cls", "left").select(
-        F.col("doc").alias(id_col),
+    named = F.when(~F.col("anon"), F.col("key"))
+    return signed.select("key", "anon", "n", "cls").join(classes, "cls", "left").select(
+        named.alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.coalesce("smallest", "doc").alias("component_id"),
+        F.coalesce(F.col("smallest"), named).alias("component_id"),
     )
 
 

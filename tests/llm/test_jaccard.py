@@ -84,6 +84,21 @@ def test_edges(spark):
         jaccard_components(docs, num=50, den=100)
 
 
+def test_rows_without_id_or_with_one_id_keep_their_links(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(900)]
+    a, b, c = (rng.choices(words, k=200) for _ in range(3))
+
+    def near(text, k):
+        return " ".join([*text[:k], "other", *text[k + 1 :]])
+
+    rows = [(1, " ".join(a)), (None, near(a, 50)), (None, near(b, 60)), (None, " ".join(b)), (7, near(b, 120)),
+            (9, " ".join(c)), (9, near(a, 150)), (9, "unlike all others"), (4, near(c, 10)), (None, " ".join(c)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id or 0, r.component_id or 0) for r in jaccard_components(docs, n=3, num=90, den=100).collect()))
+    assert got == sorted([(1, 1), (0, 1), (0, 7), (0, 7), (7, 7), (9, 4), (9, 1), (9, 9), (4, 4), (0, 4), (0, 0)])
+
+
 def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(tuple(r) for r in ngram_jaccard(spark, sf_dir).select("doc_id", "n_shingles", "component_id").collect())
