@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .limits import inner_names
 from .words import grams, slices, word_hashes
 
 SHARD = 4096
@@ -173,12 +174,13 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     Letters A-Z count as small ones. An item with fewer than five words must occur whole.
     Null or blank items match nothing, null or blank documents have no hits; null and repeated
-    ids keep their rows, and equal items are all reported. Hits are ordered by item id.
+    ids keep their rows, and equal items are all reported. Hits are ordered by item id. A carried
+    column may have any name but ``hits``, which is an error.
     """
     if "hits" in carry:
         raise ValueError("a carried column has the name of a result")
-    columns = [id_col, *[c for c in carry if c != id_col]]
-    out = docs.select(*columns, F.col(text_col).alias("bench_text"), F.expr(
+    into, _, back = inner_names([id_col, *[c for c in carry if c != id_col]])
+    out = docs.select(*into, F.col(text_col).alias("bench_text"), F.expr(
         "cast(array() as array<struct<item_id: long, similarity: double>>)").alias("bench_hits"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).alias("text"))
@@ -188,7 +190,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         index = build_index([(r["item"], r["text"]) for r in part])
         if index is not None:
             out = out.mapInArrow(_hits(docs.sparkSession.sparkContext.broadcast(index), similarity), kinds)
-    return out.select(*columns, F.array_sort("bench_hits").alias("hits"))
+    return out.select(*back, F.array_sort("bench_hits").alias("hits"))
 
 
 def benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

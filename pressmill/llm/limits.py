@@ -35,3 +35,10 @@ def written(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame
         return session.written(df, name)
     finally:
         conf.set(_BATCH, before)
+
+
+def inner_names(columns: list[str]) -> tuple[list[Column], list[str], list[Column]]:
+    """Columns under names that nothing else has, these names, and the columns under their own again."""
+    names = [f"carried_{i}" for i in range(len(columns))]
+    into = [F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]
+    return into, names, [F.col(n).alias(c) for c, n in zip(columns, names)]

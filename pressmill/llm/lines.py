@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .limits import small_enough, written
+from .limits import inner_names, small_enough, written
 from .substrings import candidate_runs, key_of
 from .words import split_lines
 
@@ -60,17 +60,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``id_col``, the columns of ``carry``, ``kept, n_lines, n_removed``: every row less its later runs.
 
     ``kept`` is null for a null text. Rows with null or repeated ids stay; rows of one id are
-    places of one document. Columns that are not carried are not read; carrying a column
-    named like a result is an error.
+    places of one document. Columns that are not carried are not read; a carried column may have any
+    name but that of a result, which is an error.
     """
     if {"kept", "n_lines", "n_removed"} & set(carry):
         raise ValueError("a carried column has the name of a result")
     spans = repeated_runs(docs, id_col, text_col, window=window)
     spans = written(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("run_spans")), "line-spans")
-    rows = docs.select(key_of(id_col).alias("doc"), id_col, *[c for c in carry if c != id_col], F.col(text_col).alias("run_text"))
+    into, inner, back = inner_names([id_col, *[c for c in carry if c != id_col]])
+    rows = docs.select(key_of(id_col).alias("doc"), *into, F.col(text_col).alias("run_text"))
     rows = rows.join(small_enough(spans, F.size("run_spans")), "doc", "left").drop("doc")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if not f.name.startswith("run_"))
-    return rows.mapInArrow(_kept, f"{kinds}, kept string, n_lines long, n_removed long")
+    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in inner)
+    kept = rows.mapInArrow(_kept, f"{kinds}, kept string, n_lines long, n_removed long")
+    return kept.select(*back, "kept", "n_lines", "n_removed")
 
 
 def line_dedup(spark, sf_dir: str) -> DataFrame:

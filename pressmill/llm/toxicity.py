@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .limits import written
+from .limits import inner_names, written
 from .words import Words, slices, split
 
 SPAN = 7
@@ -295,13 +295,13 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", column
     """``columns`` of ``docs`` (all by default) and ``score``, 0 to 1, of every whole text.
 
     A null, empty or letterless text has the score of one without any insult. Rows stay as
-    they are, also with null or repeated ids.
+    they are, also with null or repeated ids. A column already named ``score`` is replaced.
     """
     model = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns if columns is None else columns
-    rows = docs.select(*columns, F.col(text_col).alias("scored_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "scored_text")
-    return rows.mapInArrow(_scored(model), f"{kinds}, score double")
+    into, inner, back = inner_names([c for c in (docs.columns if columns is None else columns) if c != "score"])
+    rows = docs.select(*into, F.col(text_col).alias("scored_text"))
+    kinds = "".join(f"{n} {rows.schema[n].dataType.simpleString()}, " for n in inner)
+    return rows.mapInArrow(_scored(model), f"{kinds}score double").select(*back, "score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .limits import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LEVELS = 6
 # Rules of the contract (host, path, verdict).
 RULES = (
     ("org", "/", "allow"),
@@ -51,7 +50,7 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def segments(path: Column) -> Column:
-    """The first ``LEVELS`` segments with variable kinds as wildcards; deeper ones become one."""
+    """The segments with variable kinds as wildcards."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
 
     def shape(s: Column) -> Column:
@@ -64,19 +63,25 @@ def segments(path: Column) -> Column:
             .otherwise(s)
         )
 
-    shown = F.transform(F.slice(parts, 1, LEVELS), shape)
-    return F.when(F.size(parts) > LEVELS, F.concat(shown, F.array(F.lit("{rest}")))).otherwise(shown)
+    return F.transform(parts, shape)
 
 
 def generalised(shapes: DataFrame, many: int) -> DataFrame:
     """``shapes`` (host, shape, n, good, bad) with ``template``, wildcards put in level by level.
 
     Children of a node become ``{*}`` if there are more than ``many`` and at least a third of
-    all pages below the node are first visits of a child.
+    all pages below the node are first visits of a child. That ends when no node has more than ``many``
+    shapes below it: none of them, and nothing deeper, can have so many children.
     """
-    out = shapes.select("*", F.lit("").alias("template"))
-    for level in range(1, LEVELS + 1):
+    out, level = shapes.select("*", F.lit("").alias("template")), 0
+    while True:
+        level += 1
         own = F.get("shape", F.lit(level - 1))
+        below = out.where(own.isNotNull()).groupBy("host", "template").agg(F.count("*").alias("n"))
+        if (below.agg(F.max("n")).first()[0] or 0) <= many:
+            rest = F.slice("shape", level, F.greatest(F.size("shape") - level + 1, F.lit(0)))
+            tail = F.when(own.isNotNull(), F.concat(F.lit("/"), F.array_join(rest, "/"))).otherwise("")
+            return written(out.select(*shapes.columns, F.concat("template", tail).alias("template")), "templates")
         nodes = out.where(own.isNotNull()).groupBy("host", "template", own.alias("child")).agg(F.sum("n").alias("n"))
         nodes = nodes.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("pages"))
         wide = nodes.where((F.col("children") > many) & (F.col("children") * 3 >= F.col("pages")))
@@ -86,7 +91,6 @@ def generalised(shapes: DataFrame, many: int) -> DataFrame:
                 F.concat("template", F.lit("/"), F.when(F.col("wide"), "{*}").otherwise(own))).alias("template"),
         )
         out = written(out, "templates")
-    return out
 
 
 def merged(branches: DataFrame, z: float) -> DataFrame:

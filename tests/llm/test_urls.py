@@ -61,3 +61,11 @@ def test_query(spark, sf_dir):
         rule, verdict = ruled(host, path)
         assert (got[page].host, got[page].path, got[page].rule) == (host, path, rule)
         assert got[page].verdict == verdict if rule else got[page].verdict in ("allow", "block")
+
+
+def test_deep_paths_are_told_apart(spark):
+    rows = [(i, f"http://h.net/a/b/c/d/e/f/{'good' if i % 2 else 'spam'}/page{i}?x") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "page_id long, label int")
+    got = {r.page_id: r for r in filter_urls(pages(spark, rows), labels).collect()}
+    assert {r.template for r in got.values()} == {"/a/b/c/d/e/f/good/{*}", "/a/b/c/d/e/f/spam/{*}"}
+    assert all(r.verdict == ("allow" if i % 2 else "block") for i, r in got.items())
