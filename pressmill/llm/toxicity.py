@@ -27,8 +27,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .limits import inner_names, written
-from .words import Words, slices, split
+from .limits import inner_names, small_enough, written
+from .words import SLICE, Words, slices, split
 
 SPAN = 7
 DECAY = 0.75
@@ -57,9 +57,9 @@ class Model(NamedTuple):
     bias: float
 
 
-def letters(texts: pa.Array) -> Iterator[tuple[int, int, Words]]:
+def letters(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, Words]]:
     """Like ``slices``, with texts in lower case and words reduced to their letters."""
-    for lo, hi, words in slices(pc.utf8_lower(texts.fill_null(""))):
+    for lo, hi, words in slices(pc.utf8_lower(texts.fill_null("")), most):
         keep = _LETTER[words.data] | _BLANK[words.data]
         place = np.r_[0, np.cumsum(keep)]
         words = split(words.data[keep], place[words.offsets])
@@ -262,7 +262,7 @@ def _scored(model):
         for batch in batches:
             others = [i for i, f in enumerate(batch.schema) if f.name != "scored_text"]
             scores = []
-            for _, _, words in letters(batch.column("scored_text")):
+            for _, _, words in letters(batch.column("scored_text"), SLICE // 4):
                 most = worst(decisions(words, weights), words.first)
                 scores.append(1 / (1 + np.exp(-np.clip(most @ slopes + bias, -50, 50))))
             scores = np.concatenate(scores) if scores else np.zeros(0)
@@ -273,9 +273,21 @@ def _scored(model):
     return run
 
 
+def _fitting(share: float | None):
+    """The labelled rows -> the parts of the model, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["id"], r["text"], r["label"]) for b in batches for r in b.to_pylist())
+        model = fit([r[1] for r in rows], [r[2] for r in rows], share)
+        parts = [model.weights.astype(np.float32).tobytes(), model.slopes.astype(float).tobytes(), np.float64(model.bias).tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([parts], pa.list_(pa.binary()))], ["parts"])
+
+    return run
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
-    """Fits on at most ``per_class`` labelled rows of each class, chosen by a hash of the id.
+    """Fits on at most ``per_class`` labelled rows of each class, chosen by a hash of the id, in one task.
 
     Rows without label or id are left out; of several labels of one id the largest counts.
     """
@@ -286,9 +298,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     order = F.xxhash64("id", F.lit(7))
     sample = known.where("label = 1").orderBy(order, "id").limit(per_class).union(
         known.where("label = 0").orderBy(order, "id").limit(per_class))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = sorted((r["id"], r["text"] or "", r["label"]) for r in texts.join(F.broadcast(sample), "id").collect())
-    return fit([r[1] for r in rows], [r[2] for r in rows], share)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = written(texts.join(small_enough(written(sample, "toxic-ids")), "id"), "toxic-sample")
+    parts = rows.coalesce(1).mapInArrow(_fitting(share), "parts array<binary>").first()
+    if parts is None:
+        return fit([], [], share)
+    weights, slopes, bias = (bytes(p) for p in parts["parts"])
+    return Model(np.frombuffer(weights, np.float32), np.frombuffer(slopes), float(np.frombuffer(bias)[0]))
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
