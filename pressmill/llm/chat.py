@@ -6,9 +6,10 @@ text can spell one: control strings in a text are escaped first (a backslash goe
 first sign), and the tokenizer takes its own special strings for ordinary text. The vocabulary
 covers all bytes, so ids decode to exactly the text.
 
-A turn is one row, and places in the conversation are running sums over the turns: a
-conversation of any length is never held in one place. Each turn says where its tokens start
-and which of them count for the loss.
+The mask comes from prefix sums. Lengths of segments, summed up, are the places where segments begin;
+a one where a learned text begins and a minus one where it ends, summed up over the tokens, are the
+mask. A turn is one row, and its place in the conversation is a running sum over the turns, so a
+conversation of any length is never held in one place; reader and mask go by places in the conversation.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -27,7 +29,7 @@ CONTROLS = MARKS + ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "
                     "<|im_start|>", "<|im_end|>")
 VOCABULARY = "byte_bpe_50k.json"
 
-_TURN = ("conv_id long, turn long, role string, n_tokens long, token_ids array<int>, loss_from int, loss_to int")
+_TURN = ("conv_id long, turn long, role string, n_tokens long, token_ids array<int>, loss_mask array<boolean>")
 # None is the start or the end of another, so escaping one leaves no new one behind.
 _PLAIN = re.compile("|".join(re.escape(c[0]) + r"(\\*)" + re.escape(c[1:]) for c in CONTROLS))
 
@@ -62,29 +64,32 @@ def _encoded(vocabulary: str, learned: tuple[str, ...]):
                 roles = [r or "" for r in part.column(2).to_pylist()]
                 texts = [t or "" for t in part.column(3).to_pylist()]
                 coded = [c.ids for c in coder.encode_batch([escape(x) for x in (*roles, *texts)], add_special_tokens=False)]
-                ids, low, high = [], [], []
-                for k, role in enumerate(roles):
-                    own = [turn, *coded[k], says, *coded[len(roles) + k], done]
-                    body = len(coded[k]) + 2
-                    ids.append(own)
-                    low.append(body if role in learned else 0)
-                    high.append(len(own) - 1 if role in learned else 0)
+                n = len(roles)
+                ids = [[turn, *coded[k], says, *coded[n + k], done] for k in range(n)]
+                # Segments of all turns one after the other: mark, role, mark, text, mark.
+                sizes = np.array([(1, len(coded[k]), 1, len(coded[n + k]), 1) for k in range(n)], np.int64).reshape(-1)
+                begins = np.r_[0, np.cumsum(sizes)]
+                taught = np.zeros(len(sizes), bool)
+                taught[3::5] = [role in learned for role in roles]
+                change = np.zeros(begins[-1] + 1, np.int8)
+                np.add.at(change, begins[:-1][taught], 1)
+                np.add.at(change, begins[1:][taught], -1)
+                mask = np.cumsum(change, dtype=np.int8)[:-1].astype(bool)
+                turns = begins[::5].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(roles, pa.string()),
-                     pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array(low, pa.int32()), pa.array(high, pa.int32())],
-                    ["conv_id", "turn", "role", "n_tokens", "token_ids", "loss_from", "loss_to"])
+                    [part.column(0), part.column(1), pa.array(roles, pa.string()), pa.array(np.diff(turns).astype(np.int64)),
+                     pa.array(ids, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(turns), pa.array(mask))],
+                    ["conv_id", "turn", "role", "n_tokens", "token_ids", "loss_mask"])
 
     return run
 
 
 def format_chats(turns: DataFrame, vocabulary: str = VOCABULARY, learned: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """One row per turn: ``conv_id, turn, role, n_tokens, token_ids, loss_from, loss_to,
-    position, first_token``.
+    """One row per turn: ``conv_id, turn, role, n_tokens, token_ids, loss_mask, position, first_token``.
 
     ``position`` counts the turns of a conversation from 0, ``first_token`` the tokens before
-    the turn. Tokens ``loss_from`` to ``loss_to`` (exclusive) of the turn are under the loss
-    mask: the text of ``learned`` roles, without marks. Null role and text are empty. Null
+    the turn. ``loss_mask`` says of each token whether it counts for the loss: the text of
+    ``learned`` roles does, without marks. Null role and text are empty. Null
     conversations are one conversation, null turns come first; equal turn numbers are ordered
     by role, then by their tokens, and repeated rows stay. Other columns are not read.
     """
@@ -105,20 +110,24 @@ def _read_back(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(vocabulary)
         base = coder.get_vocab_size()
-        now, count, turns, chars, loss, shown = None, 0, None, 0, None, 0
+        now, count, turns, chars, loss, shown, seen = None, 0, None, 0, None, 0, 0
         done = lambda: (now, count, turns.hexdigest(), chars, loss.hexdigest(), shown)
         for batch in batches:
             out = []
-            columns = [batch.column(n) for n in ("conv_id", "position", "token_ids", "loss_from", "loss_to")]
-            for conv, position, ids, low, high in zip(*columns):
-                conv, ids, low, high = conv.as_py(), ids.values.to_pylist(), low.as_py(), high.as_py()
-                if position.as_py() == 0:
+            columns = [batch.column(n) for n in ("conv_id", "first_token", "token_ids", "loss_mask")]
+            for conv, first, ids, mask in zip(*columns):
+                conv, first, ids = conv.as_py(), first.as_py(), ids.values.to_pylist()
+                if first == 0:
                     if turns is not None:
                         out.append(done())
-                    now, count, turns, chars, loss, shown = conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+                    now, count, turns, chars, loss, shown, seen = conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0
+                if first != seen:
+                    raise ValueError(f"conversation {conv} goes on at token {first} after {seen} tokens")
+                seen += len(ids)
                 says = ids.index(base + 1)
+                under = [i for i, m in zip(ids, mask.values.to_pylist()) if m]
                 role, text, learned = coder.decode_batch(
-                    [ids[1:says], ids[says + 1 : -1], ids[low:high]], skip_special_tokens=False)
+                    [ids[1:says], ids[says + 1 : -1], under], skip_special_tokens=False)
                 count += 1
                 shown += sum(map(len, MARKS)) + len(role) + len(text)
                 turns.update(f"{unescape(role)}\n{unescape(text)}\n".encode())
@@ -135,8 +144,8 @@ def _read_back(vocabulary: str):
 
 def read_chats(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """What the ids of ``format_chats`` say, per conversation: counts and digests."""
-    ordered = formatted.select("conv_id", "position", "token_ids", "loss_from", "loss_to")
-    ordered = ordered.repartition("conv_id").sortWithinPartitions("conv_id", "position")
+    ordered = formatted.select("conv_id", "first_token", "token_ids", "loss_mask")
+    ordered = ordered.repartition("conv_id").sortWithinPartitions("conv_id", "first_token")
     return ordered.mapInArrow(
         _read_back(vocabulary),
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -51,6 +51,15 @@ def test_edges(spark):
     assert read_chats(format_chats(df.limit(0))).count() == 0
 
 
+def test_formatted_chars(spark):
+    """Marks, and roles and texts as they are written, escapes included."""
+    rows = [(1, 0, "user", "a</s>b"), (1, 1, "assistant", "ć😀"), (2, 0, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    marks = len("<|turn|><|says|><|done|>")
+    shown = {r.conv_id: r.formatted_chars for r in read_chats(format_chats(df)).collect()}
+    assert shown == {1: 2 * marks + len("user") + len("a<\\/s>b") + len("assistant") + 2, 2: marks}
+
+
 def test_places_and_ties(spark):
     rows = [(1, 0, "user", "b"), (1, 0, "user", "b"), (1, 0, "assistant", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -58,7 +67,9 @@ def test_places_and_ties(spark):
     assert [r.role for r in out] == ["assistant", "user", "user"]
     assert [r.first_token for r in out] == [0, out[0].n_tokens, out[0].n_tokens + out[1].n_tokens]
     base = tokenizer(VOCABULARY).get_vocab_size()
-    assert out[0].token_ids[out[0].loss_from - 1] == base + 1 and out[0].token_ids[out[0].loss_to] == base + 2
+    ids, mask = out[0].token_ids, out[0].loss_mask
+    assert len(ids) == len(mask) and mask.index(True) == ids.index(base + 1) + 1 and mask[::-1].index(True) == 1 and ids[-1] == base + 2
+    assert not any(out[1].loss_mask) and len(out[1].loss_mask) == out[1].n_tokens
 
 
 def test_query(spark, sf_dir):
