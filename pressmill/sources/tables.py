@@ -164,8 +164,8 @@ def read_mixed(spark: SparkSession, folder: str, txt_label: int | None = None) -
 def file_counts(spark: SparkSession, folder: str, txt_label: int | None = None) -> DataFrame:
     """``(path, kind, n_blocks, n_articles, n_rows)`` of every file that ``read_mixed`` takes.
 
-    Blocks and articles of dumps, rows of CSV tables (null for the other kind); an empty dump is one
-    empty block. One narrow pass, combined in the tasks: one row for each file and task is shuffled.
+    Blocks and articles of dumps, rows of CSV tables (null for the other kind); Spark does not list files
+    without a byte. One narrow pass, combined in the tasks: one row for each file and task is shuffled.
     """
     none = F.lit(None).cast("long")
     frames = []
@@ -180,7 +180,7 @@ def file_counts(spark: SparkSession, folder: str, txt_label: int | None = None)
     listed = list_files(spark, folder, files=label)
     if not listed.isEmpty():
         found = listed.join(count_blocks(read_blocks(spark, folder, files=label)), "path", "left")
-        frames.append(found.select("path", F.lit("dump").alias("kind"), F.coalesce("n_blocks", F.lit(1)).alias("n_blocks"),
+        frames.append(found.select("path", F.lit("dump").alias("kind"), F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"),
                                    F.coalesce("n_articles", F.lit(0)).alias("n_articles"), none.alias("n_rows")))
     if not frames:
         raise FileNotFoundError(f"no CSV tables or labelled dumps found in {folder}")

@@ -10,7 +10,7 @@ from pressmill.catalog import views
 from pressmill.operators import metrics, summary
 from pressmill.operators.rewriting import attach_rewrites, rewrite_requests
 from pressmill.operators.scoring import model_scorer, score_table
-from pressmill.plans.training import runs_table, score_with, train_runs
+from pressmill.plans.training import RunStore, runs_table, score_with, train_runs
 
 
 def test_model_and_expression_agree(spark):
@@ -164,6 +164,28 @@ def test_training(spark):
     assert out.where("label <> pred_label").count() == 0
 
 
+def test_stored_runs_are_read_again(spark, folder):
+    rng = random.Random(3)
+    words = {0: ["Vlada", "ministar"], 1: ["nadalje", "Stoga"]}
+    rows = [(i, i % 2, " ".join(rng.choice([*words[i % 2], "i", "u"]) for _ in range(30))) for i in range(60)]
+    unique = spark.createDataFrame(rows, "article_id long, label int, text string")
+    options = {"reg_params": (0.01,), "max_iter": 3, "features": 64, "store": folder}
+    first = train_runs(unique, n_runs=2, **options)
+    store = RunStore(spark, folder)
+    assert store.finished(42) and store.finished(43) and not store.finished(44)
+    # Nothing is fitted again: the table has no rows any more. A new seed would need them.
+    again = train_runs(unique.limit(0), n_runs=2, **options)
+    assert [(r.run_id, r.seed, r.reg_param, r.metrics) for r in again] == [(r.run_id, r.seed, r.reg_param, r.metrics) for r in first]
+    scored = score_with(again[0].model, unique.select("article_id", "label", "text"))
+    stored = store.predictions().where("seed = 42").select("article_id", "pred_label", "confidence")
+    assert sorted(stored.collect()) == sorted(
+        scored.join(stored.select("article_id"), "article_id").select("article_id", "pred_label", "confidence").collect())
+    assert len(train_runs(unique, n_runs=3, **options)) == 3 and store.results().count() == 3
+    assert store.reports().groupBy("seed").count().count() == 3
+    with pytest.raises(ValueError, match="other parameters"):
+        train_runs(unique, n_runs=1, **{**options, "max_iter": 4})
+
+
 def test_rewrites(spark):
     df = spark.createDataFrame(
         [(1, "a {article_text} {newspaper_name}", "L", 2000), (2, "b", None, None)],

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pressmill.catalog import views
 from pressmill.operators.scoring import score_table
 from pressmill.plans.prepare import prepare_dataset
-from pressmill.plans.validate import score_batch, score_categories, score_years
+from pressmill.plans.validate import score_batch, score_categories, score_years, store_batch
 from pressmill.sources import sinks, tables
 from pressmill.streaming.incremental import score_new_dumps
 from tests.test_dumps import put
@@ -205,6 +205,40 @@ def test_score_categories_and_batches(spark, folder):
     assert score_batch(spark, table, SCORER, text="tijelo").first().pred_label == 1
 
 
+def test_batches_replace_themselves(spark, folder):
+    put_csv(folder, "a.csv", ["text", "id"], ["a,b", "1"], ["abc", "2"], ["", "3"])
+    put(folder, "b.txt", "<***>\nDATUM: 2024\n\nx,y\n<***>\n\nxyz")
+    put_csv(folder, "none.csv", ["text", "id"])
+    out = f"{folder}/out"
+    first = store_batch(spark, f"{folder}/a.csv", SCORER, out, "a")
+    assert (first["n_articles"], first["n_ai"], first["ai_pct"]) == (3, 1, 33.3)
+    assert store_batch(spark, f"{folder}/b.txt", SCORER, out, "b")["n_articles"] == 2
+    put_csv(folder, "a.csv", ["text", "id"], ["abc", "9"])
+    assert store_batch(spark, f"{folder}/a.csv", SCORER, out, "a")["n_ai"] == 0
+    stored = spark.read.option("mergeSchema", "true").parquet(f"{out}/predictions")
+    assert sorted((r.batch, r.text, r.pred_label) for r in stored.collect()) == [("a", "abc", 0), ("b", "x,y", 1), ("b", "xyz", 0)]
+    totals = {r.batch: r.n_articles for r in spark.read.parquet(f"{out}/totals").collect()}
+    assert totals == {"a": 1, "b": 2}
+    assert store_batch(spark, f"{folder}/none.csv", SCORER, out, "none") == {
+        "n_articles": 0, "n_ai": 0, "ai_pct": None, "mean_conf_pct": None}
+    put_csv(folder, "c.csv", ["text", "batch"], ["a", "b"])
+    with pytest.raises(ValueError, match="batch"):
+        store_batch(spark, f"{folder}/c.csv", SCORER, out, "c")
+
+
+def test_file_counts(spark, folder):
+    put_csv(folder, "t/z.csv", ["text", "label"], ["x\ny", "0"], ["", ""])
+    put_csv(folder, "t/only.csv", ["text", "label"])
+    put(folder, "x_ai.txt", "<***>\nNOVINA: Avaz\n\nisti\n<***>\nDATUM: 2020\n\ndrugi <***> x\n<***> y\n<***>")
+    put(folder, "y_human.txt", "\n")
+    put(folder, "prazno_human.txt", b"")
+    put(folder, "avaz.txt", "nepoznato")
+    got = {os.path.basename(r.path): (r.kind, r.n_blocks, r.n_articles, r.n_rows) for r in tables.file_counts(spark, folder).collect()}
+    assert got == {"z.csv": ("csv", None, None, 2), "only.csv": ("csv", None, None, 0),
+                   "x_ai.txt": ("dump", 4, 2, None), "y_human.txt": ("dump", 1, 0, None)}
+    assert tables.file_counts(spark, folder, txt_label=0).where("kind = 'dump'").count() == 3
+
+
 def test_corpus_by_category(spark, folder):
     df = spark.createDataFrame([("a", "x y"), ("b", "z")], "text string, category string")
     sinks.write_corpus(df, f"{folder}/out", partition_by=["category"])
