@@ -173,8 +173,9 @@ def manifest(docs: DataFrame, key: str = "doc_id", tree: str = "lang", fields: S
     trees = numbered(written(leaves.groupBy("name").agg(F.count("*").alias("n")), "merkle-trees"), None, ["name"])
     trees = written(trees.select("name", F.col("pos").alias("tree"), F.col("size").alias("trees")), "merkle-trees")
     same = F.col("name").eqNullSafe(F.col("tree_name"))
+    # Pandas has no column of whole numbers with nulls, so keys go through it as text.
     leaves = leaves.join(small_enough(trees.withColumnRenamed("name", "tree_name")), same).select(
-        "tree", "pos", "size", "node", "key", "claim", "trees")
+        "tree", "pos", "size", "node", F.col("key").cast("string").alias("key"), "claim", "trees")
     leaves = written(leaves, "merkle-leaves")
 
     ups = ascent(leaves, depth)
@@ -206,7 +207,6 @@ def manifest(docs: DataFrame, key: str = "doc_id", tree: str = "lang", fields: S
     outer = proofs(ups, own)
     facts = subroots.select(F.col("pos").alias("tree"), F.col("node").alias("subroot")).join(F.broadcast(root))
     outer = written(outer.join(small_enough(written(facts, "merkle-facts")), "tree"), "merkle-outer")
-    key_type = docs.schema[key].dataType.simpleString()
     columns = ("key", "leaf", "subroot", "root", "proof", "proof_sha256", "folded_root", "verified")
 
     def finished(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
@@ -222,9 +222,9 @@ def manifest(docs: DataFrame, key: str = "doc_id", tree: str = "lang", fields: S
             "verified": [f == top["root"] for f in fold]})
 
     blocks = leaves.groupBy("tree", _block(depth)).cogroup(outer.groupBy("tree", "pos"))
-    rows = blocks.applyInPandas(finished, f"key {key_type}, leaf string, subroot string, root string, proof string, "
+    rows = blocks.applyInPandas(finished, "key string, leaf string, subroot string, root string, proof string, "
                                           "proof_sha256 string, folded_root string, verified boolean")
-    return rows.withColumnRenamed("key", key)
+    return rows.select(F.col("key").cast(docs.schema[key].dataType).alias(key), *columns[1:])
 
 
 def merkle_manifest(spark, sf_dir: str) -> DataFrame:

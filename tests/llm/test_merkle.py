@@ -92,6 +92,12 @@ def test_untampered_rows_verify_and_proofs_fold(spark):
     assert folded(H("other"), got[0].proof) != got[0].root
 
 
+def test_large_ids_beside_a_null(spark):
+    rows = [(2**60 + 1, "s", "en", 1, "A"), (None, "s", "en", 1, "B"), (-(2**61) - 3, None, "en", None, None)]
+    got = {r.doc_id: r.leaf for r in manifest(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {row[0]: leaf(row) for row in rows}
+
+
 def test_no_rows(spark):
     assert manifest(spark.createDataFrame([], SCHEMA)).collect() == []
 
