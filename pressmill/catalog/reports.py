@@ -15,6 +15,7 @@ from ..operators.dedup import keep_first
 from ..plans.prepare import cleaned
 from ..plans.training import RunStore, runs_table, train_runs
 from ..session import scratch_path
+from ..sources import sinks
 from ..operators.filters import within_length
 from . import views as v
 from .registry import query
@@ -78,6 +79,19 @@ def summary_grouping_sets(spark, sf_dir):
     return summary.summarize_family(scored(spark, sf_dir))
 
 
+@query(v.with_(*SCORED, select=FAMILY_SQL))
+def stored_reports(spark, sf_dir):
+    """Predictions and reports written as files, and the three reports read back."""
+    folder = scratch_path(spark, "scored")
+    sinks.write_predictions(scored(spark, sf_dir), folder, report_fmt="parquet")
+    reports = [
+        spark.read.parquet(f"{folder}/{name}").withColumn("report", F.lit(name)) for name in summary.FAMILY
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports).select(
+        "report", "year", "source", "category", "n_articles", "human_pct", "ai_pct", "mean_conf_pct"
+    )
+
+
 @query(v.with_(*SCORED, select=f"""
   SELECT count(*) AS n_articles, count(*) FILTER (WHERE pred_label = 1) AS n_ai,
     {v.sql_round1("100e0 * count(*) FILTER (WHERE pred_label = 1) / count(*)")} AS ai_pct,
