@@ -125,11 +125,12 @@ def token_flags(docs: DataFrame, text: str, n: int, lower: bool, frequent: int,
     parts = blobs.groupBy("part").applyInArrow(
         _flags(bits, flag_bits, frequent), "part int, repeated binary, frequent binary")
     each = (1 << (flag_bits - bits)) // 8
-    maps = [bytearray((1 << flag_bits) // 8), bytearray((1 << flag_bits) // 8)]
-    for row in parts.toLocalIterator():
-        for whole, own in zip(maps, (row["repeated"], row["frequent"])):
-            whole[row["part"] * each : (row["part"] + 1) * each] = own
-    return (bytes(maps[0]),) if frequent == 2 else tuple(map(bytes, maps))
+    maps = {c: bytearray((1 << flag_bits) // 8) for c in (["repeated"] if frequent == 2 else ["repeated", "frequent"])}
+    # A row for each part, of a fixed size together; one job, however many partitions there are.
+    for row in parts.select("part", *maps).collect():
+        for name, whole in maps.items():
+            whole[row["part"] * each : (row["part"] + 1) * each] = row[name]
+    return tuple(maps.values())
 
 
 def _groups(slack: int) -> int:
