@@ -26,13 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .limits import written
-from .words import SLICE, Words, slices, word_hashes
+from .words import Words, slices, word_hashes
 
 SIZE = 2048
 CLASSES = 256
 VOCABULARY = "word_bpe_49k.json"
 END = 0
-HELD_WORDS = 2_000_000
+HELD_WORDS = 1_000_000
 _SIGN = np.isin(np.arange(256), list(b".,;:!?"))
 
 _PIECE = "id long, piece int, start long, length long, ids_crc32 long, token_ids binary, shard int, rank long"
@@ -89,14 +89,14 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.hashes, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.many, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.hashes, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.many, self.ids = np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Adds words with new, sorted hashes."""
         lists = [e.ids for e in self.coder.encode_batch(words, add_special_tokens=False)]
-        many = np.fromiter(map(len, lists), np.int64, len(lists))
-        first = len(self.ids) + np.r_[0, np.cumsum(many)[:-1]]
+        many = np.fromiter(map(len, lists), np.int32, len(lists))
+        first = (len(self.ids) + np.r_[0, np.cumsum(many)[:-1]]).astype(np.int32)
         at = np.searchsorted(self.hashes, hashes)
         ids = np.fromiter(chain.from_iterable(lists), np.uint32, many.sum())
         self.ids = np.concatenate([self.ids, ids])
@@ -108,7 +108,7 @@ class WordIds:
         words, plain = stems(words)
         hashes = np.where(plain, word_hashes(words, lower=True), word_hashes(words))
         distinct, example, word = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > self.most:
+        if len(self.hashes) + len(distinct) > self.most or len(self.ids) > 16 * self.most:
             self._clear()
         at = np.searchsorted(self.hashes, distinct)
         new = np.flatnonzero(np.append(self.hashes, 0)[at] != distinct) if len(self.hashes) else np.arange(len(distinct))
@@ -124,8 +124,10 @@ class WordIds:
         begins = before[words.first] + np.arange(texts + 1)
         out = np.full(before[-1] + texts, end, np.uint32)
         place = np.arange(before[-1])
-        source = np.repeat(self.first[at][word] - before[:-1], many) + place
-        out[place + np.repeat(words.rows, many)] = self.ids[source]
+        source = np.repeat(self.first[at][word] - before[:-1], many)
+        source += place
+        place += np.repeat(words.rows, many)
+        out[place] = self.ids[source]
         return out, begins
 
 
@@ -140,7 +142,7 @@ def _pieces(size: int, vocabulary: str, end: int, keep_ids: bool):
         coder, shard, seen = word_ids(vocabulary), TaskContext.get().partitionId(), [0] * (size + 1)
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for lo, hi, words in slices(batch.column(1), 2 * SLICE):
+            for lo, hi, words in slices(batch.column(1)):
                 ids, begins = coder.encode(words, end)
                 ids, at, rows = ids.astype("<u4").tobytes(), (4 * begins).tolist(), []
                 for name, a, b in zip(names[lo:hi], at[:-1], at[1:]):
