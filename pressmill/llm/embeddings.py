@@ -5,9 +5,10 @@
 2. NN-descent: the neighbours and reverse neighbours of a node meet each other in a local
    join, and every one of them keeps what is nearer than its farthest neighbour. Rounds go on
    until an audit, exact for a fixed set of nodes against all others, finds enough recall.
-3. Lists that are saturated with links would cut groups short, so they are enlarged to the
-   whole connected group: groups are dealt into blocks, and blocks compared with each other
-   count the links of each vector. No pair is written out, and no task holds a group.
+3. Lists and rounds are bounded, so links may be left over. An exact check compares all nodes of
+   different groups, strip by strip, and joins the groups that it finds linked.
+4. Groups are dealt into blocks, and blocks compared with each other count the links of each
+   vector. No pair is written out, and no task holds a group.
 
 Candidates are searched in single precision; links are decided in double precision.
 """
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .graph import components
-from .limits import written
+from .limits import small_enough, written
 
 NEIGHBOURS = 12
 TABLES = 6
@@ -29,6 +30,9 @@ BLOCK = 256
 AUDIT = 256
 RECALL = 0.98
 ROUNDS = (1, 5)
+# Vectors, in bytes of single precision, that a task of the exact check holds.
+STRIP_BYTES = 8 << 20
+STRIPS = 8
 _EDGE = "a long, b long, near float"
 
 
@@ -195,6 +199,84 @@ def _exact(least: float):
     return run
 
 
+def _across(least: float):
+    """Rows in order of (kind, one, two, side): the strip ``one`` is held while the strip ``two`` passes.
+
+    Of links between the same two groups that are beyond doubt in single precision one is enough; all
+    that are in doubt are given out.
+    """
+
+    def met(held, rows) -> Iterator[pa.RecordBatch]:
+        ids, groups, unit = held
+        slack = (unit.shape[1] + 8) * 2.0**-23
+        for k in range(0, len(rows[0]), BLOCK):
+            mine, own, vectors = (column[k:k + BLOCK] for column in rows)
+            near = vectors @ unit.T
+            row, col = np.nonzero((near >= least - slack) & (own[:, None] != groups[None, :]))
+            if not len(row):
+                continue
+            sure = near[row, col] >= least + slack
+            pairs = np.stack([own[row[sure]], groups[col[sure]]])
+            keep = np.concatenate([np.flatnonzero(sure)[np.unique(pairs, axis=1, return_index=True)[1]], np.flatnonzero(~sure)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(mine[row[keep]]), pa.array(ids[col[keep]]), pa.array(sure[keep])], ["a", "b", "sure"])
+
+    def stacked(held):
+        return tuple(np.concatenate(column) for column in zip(*held))
+
+    def inside(cell, held) -> Iterator[pa.RecordBatch]:
+        if held and cell[1] == cell[2]:
+            whole = stacked(held)
+            for rows in held:
+                yield from met(whole, rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, whole = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(4)], axis=1)
+            nodes, groups, units = batch.column(4).to_numpy(), batch.column(5).to_numpy(), batch.column(6).to_pylist()
+            ends = [*(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for start, end in zip([0, *ends], ends if len(keys) else []):
+                *cell, side = keys[start].tolist()
+                if cell != now:
+                    yield from inside(now, held)
+                    now, held, whole = cell, [], None
+                unit = np.frombuffer(b"".join(units[start:end]), np.float32).reshape(end - start, -1)
+                rows = nodes[start:end], groups[start:end], unit
+                if side == 0:
+                    held.append(rows)
+                elif held:
+                    whole = whole or stacked(held)
+                    yield from met(whole, rows)
+        yield from inside(now, held)
+
+    return run
+
+
+def missed(nodes: DataFrame, units: DataFrame, groups: DataFrame, least: float) -> DataFrame:
+    """``a, b``: links between different groups, at least one for each two groups that have any.
+
+    Exact: all nodes of different groups are compared. They are dealt into strips of bounded size, and any
+    two strips meet in a task of which one is held: the work is quadratic, memory is not.
+    """
+    kind = F.octet_length("unit").alias("kind")
+    strips = F.greatest(F.ceil(F.col("n") * F.col("kind") / STRIP_BYTES), F.least(F.lit(STRIPS), F.ceil(F.col("n") / 1024)))
+    sizes = units.groupBy(kind).agg(F.count("*").alias("n")).select("kind", strips.cast("int").alias("strips"))
+    rows = units.join(groups.select(F.col("id").alias("node"), F.col("component").alias("group")), "node", "left").select(
+        "node", F.coalesce("group", "node").alias("group"), "unit", kind).join(small_enough(written(sizes, "strips")), "kind")
+    strip, other = F.pmod(F.xxhash64("node", F.lit(9)), F.col("strips")).cast("int"), F.col("other")
+    cells = rows.select("*", strip.alias("strip"), F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("other")).select(
+        "kind", F.least("strip", other).alias("one"), F.greatest("strip", other).alias("two"),
+        (F.col("strip") > other).cast("int").alias("side"), "node", "group", "unit")
+    cell = ("kind", "one", "two")
+    met = cells.repartition(*cell).sortWithinPartitions(*cell, "side").mapInArrow(_across(least), "a long, b long, sure boolean")
+    met = written(met, "across")
+    doubted = met.where("not sure").join(nodes.select(F.col("node").alias("a"), F.col("vector").alias("x")), "a").join(
+        nodes.select(F.col("node").alias("b"), F.col("vector").alias("y")), "b")
+    exact = doubted.select("a", "b", "x", "y").mapInArrow(_exact(least), "a long, b long")
+    return written(met.where("sure").select("a", "b").union(exact), "missed")
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(group, block, node, times, vector) in order -> blocks of at most ``BLOCK`` vectors."""
     names = ["group", "ids", "times", "units"]
@@ -280,6 +362,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         groups = written(components(links), "groups")
         if done >= ROUNDS[0] and audit(nodes, groups, least) >= RECALL:
             break
+    rest = missed(nodes, units, groups, least)
+    if not rest.isEmpty():
+        groups = written(components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).union(rest)), "groups")
     inside = _links_inside(nodes.select("node", "times", "vector"), groups, least)
     roots = nodes.select("node", "least_id").join(groups.select(F.col("id").alias("node"), "component"), "node", "left").select(
         "node", "least_id", F.coalesce("component", "node").alias("component"))

@@ -40,6 +40,23 @@ def test_groups_of_all_sizes(spark):
     assert got == brute(rows)
 
 
+def test_links_beyond_full_lists(spark):
+    """Lists of the nearest are full of copies, so no list holds a link to the other clump."""
+    rng, rows = np.random.default_rng(4), []
+    one, two, far = np.linalg.qr(rng.standard_normal((24, 3)))[0].T
+    for center in (one, 0.93 * one + np.sqrt(1 - 0.93**2) * two, far):
+        rows += [(center + 0.002 * rng.standard_normal(24)).tolist() for _ in range(40)]
+    rows += [rng.standard_normal(24).tolist() for _ in range(1500)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(rows)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {(r.vec_id, r.n_links, r.component_id) for r in near_vectors(df).collect()}
+    assert got == brute(rows)
+    assert {(n, c) for i, n, c in got if i < 80} == {(79, 0)}
+    # Lists of one neighbour from one table leave still more over.
+    got = {(r.vec_id, r.n_links, r.component_id) for r in near_vectors(df.where("vec_id < 200"), many=1, tables=1).collect()}
+    assert got == brute(rows[:200])
+
+
 def test_edges(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [float("nan"), 1.0]),
             (8, [float("inf"), 1.0]), (9, [None, 1.0]), (10, [1.0, 0.0, 0.0]), (None, [1.0, 0.0]), (11, [0.0, 1.0]), (11, [0.0, -1.0]),
