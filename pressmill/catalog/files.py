@@ -6,6 +6,8 @@ with the package's readers, and must find what the SQL says the tables hold.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.blanks import strip
@@ -21,6 +23,10 @@ from .registry import fixture, query
 from .reports import FAMILY_SQL
 from .selection import PREPARED, balanced_view, split_view
 
+# What one task reads of files in small splits.
+PART_BYTES = 128 * 1024 * 1024
+
+
 def _write_dump(rows: DataFrame, folder: str, name: str) -> None:
     """One dump file whose name starts with ``name``, articles in order."""
     one = rows.coalesce(1).sortWithinPartitions("article_id").select("article")
@@ -71,16 +77,33 @@ def dump_split(spark, sf_dir):
     return _blocks(spark, sf_dir)
 
 
+@contextmanager
+def many_splits(spark, folder: str):
+    """Files are cut into splits of 64 kB, of which a task reads many.
+
+    The number of tasks is bounded, not that of splits: as many tasks as the files of ``folder`` have parts of
+    ``PART_BYTES``, but at least four for each core.
+    """
+    size, most = "spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum"
+    before = {key: spark.conf.get(key, None) for key in (size, most)}
+    n_bytes = dumps.list_files(spark, folder).agg(F.sum("n_bytes")).first()[0] or 0
+    try:
+        spark.conf.set(size, "64k")
+        spark.conf.set(most, max(4 * spark.sparkContext.defaultParallelism, n_bytes // PART_BYTES))
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @query(_BLOCKS)
 def dump_split_large_files(spark, sf_dir):
     """The same with files cut into many splits."""
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "64k")
-    try:
+    with many_splits(spark, bucket_dumps(spark, sf_dir)):
         return written(_blocks(spark, sf_dir), "blocks")
-    finally:
-        spark.conf.set(key, before)
 
 
 @query(v.with_(v.DOCUMENTS, v.ARTICLES, select="""

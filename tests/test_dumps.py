@@ -4,9 +4,12 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from pressmill.catalog import files as catalog_files
 from pressmill.functions.fixed import HEADER_KEYS, NOT_AVAILABLE
 from pressmill.operators.articles import corpus_rows, split_blocks
+from pressmill.sources import dumps as readers
 from pressmill.sources.dumps import file_path, load_categories, load_dumps, read_articles, read_blocks, scan_dumps
 
 
@@ -250,3 +253,15 @@ def test_categories_without_articles(spark, folder):
     with pytest.raises(FileNotFoundError):
         load_categories(spark, folder)
     assert load_categories(spark, folder, exclude={"a"}).count() == 1
+
+
+def test_many_splits_in_few_tasks(spark, folder):
+    """Small splits stay small, and a task reads many of them."""
+    for i in range(40):
+        put(folder, f"bucket={i}/d.txt", f"<***>\n\nred {i}\n" * 20000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with catalog_files.many_splits(spark, folder):
+        scan = readers.scan_pieces(spark, folder)
+        tasks, splits = scan.rdd.getNumPartitions(), scan.select("path", "cut").distinct().count()
+    assert tasks <= 40 < 120 <= splits
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
