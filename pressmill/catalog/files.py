@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.blanks import strip
 from ..operators import counters, summary
@@ -23,14 +23,32 @@ from .registry import fixture, query
 from .reports import FAMILY_SQL
 from .selection import PREPARED, balanced_view, split_view
 
-# What one task reads of files in small splits.
+# What one task writes of a dump or of a table in order.
 PART_BYTES = 128 * 1024 * 1024
 
 
+def _in_order(rows: DataFrame, width: Column) -> tuple[DataFrame, int]:
+    """``rows`` by ``article_id`` in parts of about ``PART_BYTES`` of ``width``, and the number of parts."""
+    n_bytes = rows.agg(F.sum(width)).first()[0] or 0
+    parts = max(1, -(-n_bytes // PART_BYTES))
+    ranges = rows.repartitionByRange(parts, "article_id") if parts > 1 else rows.coalesce(1)
+    return ranges.sortWithinPartitions("article_id"), parts
+
+
 def _write_dump(rows: DataFrame, folder: str, name: str) -> None:
-    """One dump file whose name starts with ``name``, articles in order."""
-    one = rows.coalesce(1).sortWithinPartitions("article_id").select("article")
-    one.write.option("mapreduce.output.basename", name).mode("append").text(folder)
+    """One dump whose file names start with ``name``, articles in order.
+
+    A large one goes on in further files. These start with an article without a mark in front, so all files
+    together hold as many blocks as one file would.
+    """
+    ranges, parts = _in_order(rows, F.octet_length("article"))
+    if parts > 1:
+        # A null article is an empty line, which no reader gives out.
+        ranges = ranges.where("article is not null").withColumn("row", F.monotonically_increasing_id())
+        goes_on = (F.col("row") > 0) & (F.col("row").bitwiseAND(F.lit((1 << 33) - 1)) == 0)
+        bare = F.regexp_replace("article", r"\A<\*{3}>\n", "")
+        ranges = ranges.withColumn("article", F.when(goes_on, bare).otherwise(F.col("article")))
+    ranges.select("article").write.option("mapreduce.output.basename", name).mode("append").text(folder)
 
 
 @fixture
@@ -147,11 +165,16 @@ def category_analysis(spark, sf_dir):
 # --- CSV ---------------------------------------------------------------------------------
 
 
-def _write_csv(df: DataFrame, path: str, name: str) -> None:
-    """CSV files whose names start with ``name``."""
-    df.write.options(**tables.CSV_FORMAT).option("mapreduce.output.basename", name).mode(
-        "append"
-    ).csv(path)
+def _write_csv(df: DataFrame, path: str, name: str, most_rows: int = 0) -> None:
+    """CSV files whose names start with ``name``, of at most ``most_rows`` rows if that is not 0."""
+    df.write.options(**tables.CSV_FORMAT, maxRecordsPerFile=most_rows).option(
+        "mapreduce.output.basename", name
+    ).mode("append").csv(path)
+
+
+def _write_csv_parts(df: DataFrame, path: str, name: str) -> None:
+    """The same in files that one task can read each, however wide the scan behind ``df``."""
+    _write_csv(df, path, name, sinks.rows_per_file(df))
 
 
 _QUOTED = r"""'  "citat", ' || text || ' \ kraj "'"""
@@ -182,10 +205,10 @@ def mixed_files(spark, sf_dir, path):
     """CSV files of three headers and dumps that name their class, or none, in one folder."""
     rows, a = v.corpus(spark, sf_dir), F.col("article_id")
     full = rows.where(a % 2 == 0).select("text", "label", "source", "year")
-    _write_csv(full, f"{path}/tables", "clanci")
-    _write_csv(rows.where(a % 4 == 1).select("label", "text"), f"{path}/tables", "dodatak")
+    _write_csv_parts(full, f"{path}/tables", "clanci")
+    _write_csv_parts(rows.where(a % 4 == 1).select("label", "text"), f"{path}/tables", "dodatak")
     others = v.documents(spark, sf_dir).where(a % 4 != 3).join(rows.select("article_id"), "article_id", "left_anti")
-    _write_csv(others.select("source", "text"), f"{path}/tables", "ostalo")
+    _write_csv_parts(others.select("source", "text"), f"{path}/tables", "ostalo")
     articles = v.dump_articles(spark, sf_dir)
     for name, chosen in (
         ("avaz_ai", a % 8 == 3),
@@ -253,8 +276,8 @@ def unlabelled_files(spark, sf_dir):
 def job_files(spark, sf_dir, path):
     """The labelled corpus: even numbers in a table, odd ones in a dump for each class."""
     rows, a = v.corpus(spark, sf_dir), F.col("article_id")
-    table = rows.where(a % 2 == 0).coalesce(1).sortWithinPartitions("article_id")
-    _write_csv(table.select("text", "label", "source", "year"), path, "clanci")
+    table, _ = _in_order(rows.where(a % 2 == 0), F.octet_length("text"))
+    _write_csv_parts(table.select("text", "label", "source", "year"), path, "clanci")
     articles = v.dump_articles(spark, sf_dir).where(a % 2 == 1).join(rows.select("article_id", "label"), "article_id")
     for name, label in (("avaz_ai", 1), ("avaz_human", 0)):
         _write_dump(articles.where(F.col("label") == label), path, name)
@@ -288,7 +311,7 @@ def prepare_dataset_job(spark, sf_dir):
 def batch_files(spark, sf_dir, path):
     """Two batches: even documents in tables, odd ones in a dump."""
     docs, a = v.documents(spark, sf_dir), F.col("article_id")
-    _write_csv(docs.where(a % 2 == 0).select("article_id", "text"), f"{path}/tablice", "clanci")
+    _write_csv_parts(docs.where(a % 2 == 0).select("article_id", "text"), f"{path}/tablice", "clanci")
     _write_dump(v.dump_articles(spark, sf_dir).where(a % 2 == 1), f"{path}/izvod.txt", "izvod")
 
 

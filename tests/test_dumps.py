@@ -255,6 +255,20 @@ def test_categories_without_articles(spark, folder):
     assert load_categories(spark, folder, exclude={"a"}).count() == 1
 
 
+def test_large_dump_goes_on_in_further_files(spark, folder, monkeypatch):
+    """A dump in parts holds the blocks and articles of one file, in order."""
+    monkeypatch.setattr(catalog_files, "PART_BYTES", 2000, raising=False)
+    rows = [(i, f"<***>\nNOVINA: list\nLINK: {i}\n\nTekst {i} <***> kraj\nred") for i in range(200)]
+    rows += [(None, None), (7, None), (203, None)]
+    df = spark.createDataFrame(rows, "article_id long, article string").repartition(5)
+    catalog_files._write_dump(df, f"{folder}/d", "izvod")
+    assert readers.list_files(spark, f"{folder}/d").count() > 1
+    counts = readers.count_blocks(read_blocks(spark, f"{folder}/d")).agg(F.sum("n_blocks"), F.sum("n_articles")).first()
+    assert tuple(counts) == (201, 200)
+    got = read_articles(spark, f"{folder}/d").orderBy("path", *readers.PLACE).collect()
+    assert [(r.link, r.text) for r in got] == [(str(i), f"Tekst {i} <***> kraj\nred") for i in range(200)]
+
+
 def test_many_splits_in_few_tasks(spark, folder):
     """Small splits stay small, and a task reads many of them."""
     for i in range(40):
