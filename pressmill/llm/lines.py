@@ -78,4 +78,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def line_dedup(spark, sf_dir: str) -> DataFrame:
     """op9: every document with its kept lines (digest) and how many lines went."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    kept = dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return written(kept, "line-digests")  # whole texts pass through workers in small batches
