@@ -31,7 +31,8 @@ def _in_order(rows: DataFrame, width: Column) -> tuple[DataFrame, int]:
     """``rows`` by ``article_id`` in parts of about ``PART_BYTES`` of ``width``, and the number of parts."""
     n_bytes = rows.agg(F.sum(width)).first()[0] or 0
     parts = max(1, -(-n_bytes // PART_BYTES))
-    ranges = rows.repartitionByRange(parts, "article_id") if parts > 1 else rows.coalesce(1)
+    # Rows are chosen before they move, for one part too: coalesce would bring the whole scan into its task.
+    ranges = rows.repartitionByRange(parts, "article_id")
     return ranges.sortWithinPartitions("article_id"), parts
 
 
