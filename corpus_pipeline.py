@@ -2,6 +2,9 @@
 
 Every stage but the last returns the columns of ``documents``, in their order. ``n_chars`` is
 the length of the text as a stage leaves it (null for a null text).
+
+A stage whose texts come back from Python workers returns a stored table: so they pass through in
+small Arrow batches, whatever the session's setting is when the table is read.
 """
 
 from __future__ import annotations
@@ -24,13 +27,17 @@ OTHERS = ("doc_id", "lang", "source", "n_chars")
 ORACLE_SQL = None
 
 
+def _kept(docs: DataFrame, stage: str) -> DataFrame:
+    return written(docs, f"stage-{stage}", codec="zstd")  # such tables are whole texts and stay in scratch
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half. Trained on the labelled ones among ``docs``.
 
     A null or empty text is not toxic and stays.
     """
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs.select(*COLUMNS), model).where("score < 0.5").select(*COLUMNS)
+    return _kept(score_toxicity(docs.select(*COLUMNS), model).where("score < 0.5").select(*COLUMNS), "toxicity")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = kept.where("n_removed < n_lines or n_lines = 0")
     text = F.col("kept")
     changed = F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return left.select("doc_id", text.alias("text"), "lang", "source", changed.alias("n_chars"))
+    return _kept(left.select("doc_id", text.alias("text"), "lang", "source", changed.alias("n_chars")), "line_dedup")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +65,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an item of the benchmark."""
     found = find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=COLUMNS)
-    return found.where(F.size("hits") == 0).select(*COLUMNS)
+    return _kept(found.where(F.size("hits") == 0).select(*COLUMNS), "decontamination")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,8 +83,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
+    """All stages over ``documents``; what more than one later job reads is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
     return docs

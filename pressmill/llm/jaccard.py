@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 from .graph import components
-from .limits import small_enough, written
+from .limits import small_batches, small_enough, written
 from .words import mix, shingles, slices, word_hashes
 
 FLAG_BITS = 27
@@ -127,7 +127,9 @@ def token_flags(docs: DataFrame, text: str, n: int, lower: bool, frequent: int,
     each = (1 << (flag_bits - bits)) // 8
     maps = {c: bytearray((1 << flag_bits) // 8) for c in (["repeated"] if frequent == 2 else ["repeated", "frequent"])}
     # A row for each part, of a fixed size together; one job, however many partitions there are.
-    for row in parts.select("part", *maps).collect():
+    with small_batches(docs.sparkSession):
+        found = parts.select("part", *maps).collect()
+    for row in found:
         for name, whole in maps.items():
             whole[row["part"] * each : (row["part"] + 1) * each] = row[name]
     return tuple(maps.values())

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmill import session
 
@@ -22,19 +25,26 @@ def small_enough(table: DataFrame, entries: Column | None = None, most: int = BR
     return F.broadcast(table) if size <= most else table
 
 
-def written(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """``df`` written to scratch and read back, with Arrow batches of at most ``batch_rows``.
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` for the jobs that run inside.
 
     Rows with whole texts or sets are kilobytes each; the default batch of ten thousand would
-    take most of a worker's memory. The session's setting is put back afterwards.
+    take most of a worker's memory. The session's setting is put back afterwards, so a table that
+    is returned without having been written gets the batches of whoever runs it.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(_BATCH)
-    conf.set(_BATCH, str(batch_rows))
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(rows))
     try:
-        return session.written(df, name)
+        yield
     finally:
-        conf.set(_BATCH, before)
+        spark.conf.set(_BATCH, before)
+
+
+def written(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, codec: str | None = None) -> DataFrame:
+    """``df`` written to scratch and read back, with Arrow batches of at most ``batch_rows``."""
+    with small_batches(df.sparkSession, batch_rows):
+        return session.written(df, name, codec)
 
 
 def inner_names(columns: list[str]) -> tuple[list[Column], list[str], list[Column]]:

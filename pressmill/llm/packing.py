@@ -299,19 +299,19 @@ def _best_fit(left: np.ndarray, plan: Plan) -> None:
 
 
 def _placed(plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``length, rank`` -> the place of a piece; its ids are not sent to the workers."""
+
+    @F.arrow_udf("sequence_id long, offset long")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         length, first, times, sequence, offset = plan.value.T
         keys = (length << 44) + first
-        for batch in batches:
-            own = batch.column("length").to_numpy()
-            rank = batch.column("rank").to_numpy()
+        for lengths, ranks in batches:
+            own, rank = lengths.to_numpy(), ranks.to_numpy()
             row = np.searchsorted(keys, (own << 44) + rank, side="right") - 1
             inside = rank - first[row]
-            others = [i for i, f in enumerate(batch.schema) if f.name not in ("rank",)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in others]
-                + [pa.array(sequence[row] + inside % times[row]), pa.array(offset[row] + inside // times[row] * own)],
-                [batch.schema[i].name for i in others] + ["sequence_id", "offset"])
+            yield pa.StructArray.from_arrays(
+                [pa.array(sequence[row] + inside % times[row]), pa.array(offset[row] + inside // times[row] * own)],
+                ["sequence_id", "offset"])
 
     return run
 
@@ -334,10 +334,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, siz
     before = counts.select("shard", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     ranked = pieces.join(before, ["shard", "length"]).select(
         "id", "piece", "start", "length", "ids_crc32", "token_ids", (F.col("rank") + F.col("before")).alias("rank"))
-    placed = ranked.mapInArrow(
-        _placed(plan), "id long, piece int, start long, length long, ids_crc32 long, token_ids binary, "
-                       "sequence_id long, offset long")
-    return placed.withColumnRenamed("id", id_col)
+    placed = ranked.withColumn("place", _placed(plan)("length", "rank"))
+    return placed.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "token_ids",
+                         "place.sequence_id", "place.offset")
 
 
 def best_fit_packing(spark, sf_dir: str) -> DataFrame:

@@ -63,19 +63,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/pressmill/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to scratch and read it back.
 
     Cuts the lineage at files that outlive any executor, and gives the
     following steps a columnar table of which they read only what they need.
+    ``codec`` takes the place of the session's compression.
     """
-    return stored(df.sparkSession, df, name)
+    return stored(df.sparkSession, df, name, codec)
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written to scratch and read back in ``spark``, which may not be its own session."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
