@@ -69,6 +69,15 @@ def _sliding_least(values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of ``values[bounds[i]:bounds[i + 1]]`` for all i."""
+    offsets = bounds * (values.nbytes // max(len(values), 1))
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("more than 2 GB for one binary column of a batch")
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _entries(window: int, bits: int, anchor_size: int, by):
     """(doc, text) -> blobs by part, and runs already settled inside a stretch of texts.
 
@@ -101,28 +110,33 @@ def _entries(window: int, bits: int, anchor_size: int, by):
         later = np.flatnonzero(source != np.arange(len(at)))
         # Rows of one id may stand in several texts; equal places are no earlier start.
         later = later[(doc[later] != doc[source[later]]) | (pos[later] != pos[source[later]])]
-        settled = np.stack(_runs(doc[later], pos[later], doc[source[later]], pos[source[later]]))
+        settled = np.stack(_runs(doc[later], pos[later], doc[source[later]], pos[source[later]]), axis=1)
         new = np.flatnonzero(source == np.arange(len(at)))
-        go_on = (np.diff(new) == 1) & (np.diff(row[new]) == 0) & (least[new][1:] == least[new][:-1])
+        anchors = least[new]
+        go_on = (np.diff(new) == 1) & (np.diff(row[new]) == 0) & (anchors[1:] == anchors[:-1])
         heads = np.flatnonzero(np.r_[True, ~go_on])
         size = np.diff(np.r_[heads, len(new)])
-        anchor = least[new][heads]
-        part = (anchor * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+        part = (anchors[heads] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        heads, size, part, anchor = heads[order], size[order], part[order], anchor[order]
-        bounds = np.searchsorted(part, np.arange((1 << bits) + 1))
+        heads, size, part = heads[order], size[order], part[order]
         tails = (whole[new] >> np.uint64(32)).astype(np.uint32)[_spread(heads, size)]
+        owner = settled[:, 0] & ((1 << bits) - 1)
+        order = np.argsort(owner, kind="stable")
+        settled, owner = settled[order], owner[order]
+        # Everything is in the order of parts now, so what a part gets is a stretch of each array.
+        bounds = np.searchsorted(part, np.arange((1 << bits) + 1))
+        kept = np.searchsorted(owner, np.arange((1 << bits) + 1))
+        parts = np.flatnonzero((np.diff(bounds) > 0) | (np.diff(kept) > 0))
+        bounds, kept = np.r_[bounds[parts], len(part)], np.r_[kept[parts], len(owner)]
         ends = np.r_[0, np.cumsum(size)]
-        owner = settled[0] & ((1 << bits) - 1)
-        rows = []
-        for p, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-            mine = owner == p
-            if b > a or mine.any():
-                rows.append((p, anchor[a:b].astype(np.uint32).tobytes(),
-                             np.diff(doc[new][heads[a:b]], prepend=0).tobytes(),
-                             pos[new][heads[a:b]].astype(np.int32).tobytes(), size[a:b].astype(np.int32).tobytes(),
-                             tails[ends[a] : ends[b]].tobytes(), settled[:, mine].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
+        place = new[heads]
+        steps = np.diff(doc[place], prepend=0)
+        first_of = bounds[:-1][np.diff(bounds) > 0]
+        steps[first_of] = doc[place[first_of]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int32()), _binary(anchors[heads].astype(np.uint32), bounds), _binary(steps, bounds),
+             _binary(pos[place].astype(np.int32), bounds), _binary(size.astype(np.int32), bounds),
+             _binary(tails, ends[bounds]), _binary(settled, kept)], schema=fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -149,7 +163,7 @@ def _resolve(batch: pa.Table) -> pa.Table:
     def joined(name, kind):
         return [np.frombuffer(x, kind) for x in batch[name].to_pylist()]
 
-    runs = np.concatenate([r.reshape(5, -1) for r in joined("runs", np.int64)], axis=1)
+    runs = np.concatenate(joined("runs", np.int64)).reshape(-1, 5).T
     anchor, size = np.concatenate(joined("anchor", np.uint32)), np.concatenate(joined("size", np.int32))
     doc = np.concatenate([np.cumsum(d) for d in joined("doc", np.int64)])
     pos = np.concatenate(joined("pos", np.int32)).astype(np.int64)
@@ -210,57 +224,58 @@ class SuffixAutomaton:
     """All subsequences of consecutive words of one text, with the first end of each."""
 
     def __init__(self, words: list[int]):
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.first_end = [-1], [0], [-1]
-        last = 0
+        # State ``k`` is the text's first ``k`` words; copies of states come behind.
+        n = len(words)
+        moves, link = [{} for _ in range(n + 1)], [-1] + [0] * n
+        length, first_end = list(range(n + 1)), list(range(-1, n))
         for end, word in enumerate(words):
-            last = self._extend(last, word, end)
-
-    def _state(self, length: int, first_end: int, moves: dict[int, int], link: int) -> int:
-        self.next.append(moves)
-        self.length.append(length)
-        self.first_end.append(first_end)
-        self.link.append(link)
-        return len(self.next) - 1
-
-    def _extend(self, last: int, word: int, end: int) -> int:
-        moves, link, length = self.next, self.link, self.length
-        new = self._state(length[last] + 1, end, {}, 0)
-        at = last
-        while at >= 0 and word not in moves[at]:
-            moves[at][word] = new
-            at = link[at]
-        if at >= 0:
-            to = moves[at][word]
+            new = end + 1
+            moves[end][word] = new
+            at = link[end]
+            while at >= 0:
+                own = moves[at]
+                if word in own:
+                    break
+                own[word] = new
+                at = link[at]
+            else:
+                continue
+            to = own[word]
             if length[to] == length[at] + 1:
                 link[new] = to
-            else:
-                twin = self._state(length[at] + 1, self.first_end[to], dict(moves[to]), link[to])
-                while at >= 0 and moves[at].get(word) == to:
-                    moves[at][word] = twin
-                    at = link[at]
-                link[to] = link[new] = twin
-        return new
+                continue
+            twin = len(moves)
+            moves.append(moves[to].copy())
+            link.append(link[to])
+            length.append(length[at] + 1)
+            first_end.append(first_end[to])
+            while at >= 0 and moves[at].get(word) == to:
+                moves[at][word] = twin
+                at = link[at]
+            link[to] = link[new] = twin
+        self.next, self.link, self.length, self.first_end = moves, link, length, first_end
 
     def first_starts(self, words: list[int], window: int) -> list[int]:
         """For every window of ``words``: where its words first start in the text, or -1."""
-        moves, link, length = self.next, self.link, self.length
+        moves, link, length, first_end = self.next, self.link, self.length, self.first_end
         out, at, matched = [], 0, 0
         for end, word in enumerate(words):
-            while at and word not in moves[at]:
+            to = moves[at].get(word)
+            while to is None and at:
                 at = link[at]
                 matched = length[at]
-            if word in moves[at]:
-                at = moves[at][word]
+                to = moves[at].get(word)
+            if to is not None:
+                at = to
                 matched += 1
-            if end >= window - 1:
-                if matched < window:
-                    out.append(-1)
-                    continue
-                state = at
-                while length[link[state]] >= window:
-                    state = link[state]
-                out.append(self.first_end[state] - window + 1)
+            if matched >= window:
+                # Words before the window are forgotten, or periodic texts would climb all states at every word.
+                matched = window
+                while length[link[at]] >= window:
+                    at = link[at]
+                out.append(first_end[at] - window + 1)
+            elif end >= window - 1:
+                out.append(-1)
         return out
 
 
@@ -284,13 +299,14 @@ def _streamed(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, automaton = None, None
         for batch in batches:
+            shards, words = batch.column("shard"), batch.column("words")
             out = []
-            for row in batch.to_pylist():
+            for k, row in enumerate(batch.drop_columns(["shard", "words"]).to_pylist()):
                 shard = (row["ref_doc"], row["block"])
                 if shard != last:
                     last = shard
-                    automaton = SuffixAutomaton(np.frombuffer(row["shard"], np.uint64).tolist())
-                stretch = np.frombuffer(row["words"], np.uint64).tolist()
+                    automaton = SuffixAutomaton(np.frombuffer(shards[k].as_buffer(), np.uint64).tolist())
+                stretch = np.frombuffer(words[k].as_buffer(), np.uint64).tolist()
                 first = np.array(automaton.first_starts(stretch, window))
                 place = row["start"] + np.arange(len(first))
                 earlier = (first >= 0) & ((row["ref_doc"] < row["doc"]) | (first + row["base"] < place))
